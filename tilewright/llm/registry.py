@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import q_text
+from tilewright.llm import q_chat, q_media, q_text
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**q_text.QUERIES}
-ORACLE_SQL: dict[str, str] = {**q_text.ORACLE_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**q_media.QUERIES, **q_text.QUERIES, **q_chat.QUERIES}
+ORACLE_SQL: dict[str, str] = {**q_chat.ORACLE_SQL}
