@@ -10,10 +10,10 @@ Where a coordinate got no dart, the height is doubled for that set.
 Documents with equal texts are one class from the start (a class is named by its
 smallest id). Of the distinct texts, bands of the signature are joined natively: rows of
 a bucket are compared with one pivot of the bucket, not with each other, and the exact
-similarity of word shingles decides. A bucket whose rows don't all agree with its pivot is
-looked at again with another pivot, until each row of the bucket was a pivot, agreed with
-one, or is in the same class as all others; so no link between different texts of a bucket
-is lost and no group is expanded to pairs. Classes are connected components.
+similarity of word shingles decides. Where a bucket then holds several classes, its rows
+outside the largest class are compared with all rows of other classes, block by block,
+and only links leave a block; so no link between different texts of a bucket is lost and
+no group is expanded to pairs. Classes are connected components.
 
 Defined cases: null and empty texts are equal texts, and similar to no others; a text of
 fewer words than a shingle is one shingle of all its words; ties and repeated rows (equal
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +38,8 @@ from tilewright.llm.wordhash import hash_words, mix, runs
 SHINGLE, SIMILARITY = 5, 0.8
 #: 24 bands of 4: at a similarity of 0.8 a pair meets in no band with a probability of 3e-6.
 BANDS, ROWS = 24, 4
+#: Rows of a block, and shingles looked at together, where classes of a bucket are compared.
+BLOCK, COLUMNS = 1000, 4096
 
 
 def shingles(data: np.ndarray, off: np.ndarray, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -179,6 +182,53 @@ def _compared(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
+def _across(members: DataFrame, label: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between different classes of a bucket.
+
+    Of each bucket with several classes, rows outside its largest class are compared with
+    all rows of other classes: blocks of rows against blocks of rows, by products of 0/1
+    matrices of shared shingles. Only links leave a block, and no task holds more than
+    one block of either side. Rows of the largest class are linked already.
+    """
+    at = members.select("bucket", "k").join(label, "k", "left").select("bucket", "k", F.coalesce("c", "k").alias("c"))
+    kind = members.schema["k"].dataType.simpleString()
+    sizes = at.groupBy("bucket", "c").agg(F.count("*").alias("n"))
+    # a bucket of two rows has been compared whole
+    several = sizes.groupBy("bucket").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("most")).where((F.col("n") > F.col("most")) & (F.col("n") > 2))
+    several = several.select("bucket", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("right"), F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int").alias("left"))
+    rows = stored(at.join(several, "bucket"), "open")
+    place = lambda n: F.pmod(F.xxhash64("k", F.lit(7)), F.col(n)).cast("int")
+    asks = rows.where(F.col("c") != F.col("main")).select("bucket", "k", "c", place("left").alias("i"), F.explode(F.sequence(F.lit(0), F.col("right") - 1)).alias("j"), F.lit(True).alias("asks"))
+    told = rows.select("bucket", "k", "c", F.explode(F.sequence(F.lit(0), F.col("left") - 1)).alias("i"), place("right").alias("j"), F.lit(False).alias("asks"))
+    both = asks.unionByName(told).join(sets, "k").select("bucket", "i", "j", "k", "c", "asks", "s")
+
+    def run(group: pa.Table) -> pa.Table:
+        asks = np.asarray(group.column("asks").combine_chunks())
+        names, c = group.column("k").combine_chunks(), group.column("c").combine_chunks()
+        cls = np.unique(np.stack([np.asarray(pc.struct_field(c, f)) for f in ("id", "h1", "h2")], 1), axis=0, return_inverse=True)[1].ravel()
+        raw, off = text_bytes(group.column("s"))
+        values, n = raw.view(np.uint64) if len(raw) else np.zeros(0, np.uint64), np.diff(off) // 8
+        term, count = np.unique(values, return_inverse=True, return_counts=True)[1:]
+        col = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[term]
+        row = np.repeat(np.arange(len(n)), n)
+        row, col = row[col >= 0], col[col >= 0]
+        order = np.argsort(col, kind="stable")
+        row, col = row[order], col[order]
+        left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
+        common = np.zeros((len(left), len(right)), np.float32)
+        for lo in range(0, int(col[-1]) + 1 if len(col) else 0, COLUMNS):
+            x, y = np.searchsorted(col, (lo, lo + COLUMNS))
+            m = np.zeros((len(n), min(COLUMNS, int(col[-1]) + 1 - lo)), np.float32)
+            m[row[x:y], col[x:y] - lo] = 1
+            common += m[left] @ m[right].T
+        ok = common >= least * (n[left][:, None] + n[right][None, :] - common)
+        ok &= (cls[left][:, None] != cls[right][None, :]) & (n[left] > 0)[:, None]
+        i, j = np.nonzero(ok)
+        return pa.table({"a": names.take(pa.array(left[i])), "b": names.take(pa.array(right[j]))})
+
+    return both.groupBy("bucket", "i", "j").applyInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) -> (k, c): for each end of an edge the least of its component, by neighbours' minima and pointer jumps."""
     both = stored(edges.select(F.col("a").alias("k"), F.col("b").alias("n")).unionByName(edges.select(F.col("b").alias("k"), F.col("a").alias("n"))).distinct(), "links")
@@ -210,26 +260,10 @@ def classes(docs: DataFrame, *, key: str = "doc_id", text: str = "text", similar
     needed = pairs.select(F.col("a").alias("k")).unionByName(pairs.select(F.col("b").alias("k"))).distinct()
     sets = stored(_shingled(named.join(needed, "k", "left_semi"), width).dropDuplicates(["k"]), "shingles")
     edges = stored(_compared(pairs, sets, similarity), "edges")
-    done = members.select("bucket", "pivot").distinct()
-    compared = pairs
-    while True:
-        label = components(edges)
-        at = members.select("bucket", "k").join(label, "k", "left").select("bucket", "k", F.coalesce("c", "k").alias("c"))
-        mixed = at.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where(F.col("lo") != F.col("hi")).select("bucket")
-        tried = done.select("bucket", F.col("pivot").alias("k"), F.lit(True).alias("tried"))
-        open_ = stored(at.join(mixed, "bucket").join(tried, ["bucket", "k"], "left").where(F.col("tried").isNull()).select("bucket", "k", "c"), "open")
-        # the class with the most rows that weren't pivots needn't give any: all others come to its rows
-        sizes = open_.groupBy("bucket", "c").agg(F.count("*").alias("n"))
-        spared = sizes.groupBy("bucket").agg(F.max_by("c", F.struct("n", "c")).alias("spared"))
-        pivots = stored(open_.join(spared, "bucket").where(F.col("c") != F.col("spared")).groupBy("bucket").agg(F.min(F.struct("k", "c")).alias("p")), "pivots")
-        more = open_.join(pivots, "bucket").where(F.col("c") != F.col("p.c")).select(F.least(F.col("p.k"), F.col("k")).alias("a"), F.greatest(F.col("p.k"), F.col("k")).alias("b")).distinct()
-        pairs = stored(more.join(compared, ["a", "b"], "left_anti"), "pairs")
-        if pivots.limit(1).count() == 0:
-            break
-        done = done.unionByName(pivots.select("bucket", F.col("p.k").alias("pivot")))
-        if pairs.limit(1).count():
-            edges = stored(edges.unionByName(_compared(pairs, sets, similarity)), "edges")
-            compared = compared.unionByName(pairs)
+    label = components(edges)
+    more = stored(_across(members, label, sets, similarity), "edges")
+    if more.limit(1).count():
+        label = components(edges.unionByName(more))
     name = own.select("h1", "h2", F.col("k").alias("own")).join(label.select(F.col("k").alias("own"), "c"), "own", "left").select("h1", "h2", F.coalesce("c", "own")["id"].alias("class_id"))
     return seen.select(F.col("k.id").alias("doc_id"), F.col("k.h1").alias("h1"), F.col("k.h2").alias("h2")).join(name, ["h1", "h2"]).select("doc_id", "h1", "h2", "class_id")
 
