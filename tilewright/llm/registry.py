@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import q_bpe, q_chat, q_media, q_near, q_text
+from tilewright.llm import q_bpe, q_chat, q_media, q_near, q_repeats, q_text
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**q_bpe.QUERIES, **q_near.QUERIES, **q_media.QUERIES, **q_text.QUERIES, **q_chat.QUERIES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**q_repeats.QUERIES, **q_bpe.QUERIES, **q_near.QUERIES, **q_media.QUERIES, **q_text.QUERIES, **q_chat.QUERIES}
 ORACLE_SQL: dict[str, str] = {**q_chat.ORACLE_SQL}

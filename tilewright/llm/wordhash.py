@@ -90,3 +90,15 @@ def least_of(x: np.ndarray, width: int) -> np.ndarray:
         m = np.minimum(m[:-size], m[size:])
         size *= 2
     return np.minimum(m[: len(x) - width + 1], m[width - size : width - size + len(x) - width + 1])
+
+
+def byte_runs(data: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each data[i:i+width] of bytes."""
+    n = len(data) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    base = (_BASE * 7) % _MOD | 1
+    table = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(table[data] * _powers(len(data), base), out=sums[1:])
+    return mix((sums[width:] - sums[:n]) * _powers(n, pow(base, -1, _MOD)))
