@@ -7,6 +7,8 @@ precedes its suffixes gives the interval of cw. The first interval to end at a p
 the common prefix there as l. Values come in increasing order, so the work stops at the
 minimum length; places without a mark then have a common prefix of at least that length.
 Intervals whose right end is marked already aren't followed, so each place is marked once.
+Separators are only stepped to from the root: strings that run on past one are of no use,
+and all that matter end with a separator at most.
 """
 
 from __future__ import annotations
@@ -79,6 +81,7 @@ def deep_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray
     code = np.zeros(int(symbols[-1]) + 1, np.int64)
     code[symbols] = np.arange(len(symbols))
     bwt = code[bwt]
+    text_at = bwt != 0 if symbols[0] == 0 else np.ones(n, bool)  # what a step to the left keeps within a string
     base = np.cumsum(counts) - counts
     # place of the suffix one symbol longer to the left
     back = np.argsort(bwt, kind="stable")
@@ -88,13 +91,13 @@ def deep_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray
     marked = np.zeros(n + 1, bool)
     marked[0] = True
     lo, hi = np.zeros(1, np.int64), np.full(1, n, np.int64)
-    for _ in range(depth):
+    for level in range(depth):
         # the intervals of cw for all intervals of w
         wide = hi - lo > _WIDE
         parts = []
         if wide.any():
             wl, wh = lo[wide], hi[wide]
-            for s in range(len(symbols)):
+            for s in range(int(level > 0 and symbols[0] == 0), len(symbols)):
                 mine = back[every[s] : every[s + 1]]
                 a, b = np.searchsorted(mine, wl), np.searchsorted(mine, wh)
                 some = b > a
@@ -102,20 +105,24 @@ def deep_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray
         if not wide.all():
             nl, nh = lo[~wide], hi[~wide]
             single = nh - nl == 1
-            one = lf[nl[single]]
+            one = nl[single]
+            one = lf[one[text_at[one]]] if level else lf[one]
             parts.append((one, one + 1))
             nl, nh = nl[~single], nh[~single]
             if len(nl):
                 size = nh - nl
                 total = np.cumsum(size)
                 at = np.arange(int(total[-1])) + np.repeat(nl - (total - size), size)
-                to = np.sort(lf[at] + np.repeat(np.arange(len(nl)), size) * (n + 1))
+                of = np.repeat(np.arange(len(nl)), size)
+                if level:
+                    at, of = at[text_at[at]], of[text_at[at]]
+                to = np.sort(lf[at] + of * (n + 1))
                 row, place = to // (n + 1), to % (n + 1)
                 # within an interval, equal symbols lead to places side by side, other symbols to another symbol's range
                 sym = np.searchsorted(base, place, "right")
-                cut = np.append(True, (row[1:] != row[:-1]) | (sym[1:] != sym[:-1]))
+                cut = np.append(np.ones(min(1, len(to)), bool), (row[1:] != row[:-1]) | (sym[1:] != sym[:-1]))
                 start = np.flatnonzero(cut)
-                stop = np.append(start[1:], len(to))
+                stop = np.append(start[1:], len(to))[: len(start)]
                 parts.append((place[start], place[stop - 1] + 1))
         lo = np.concatenate([p[0] for p in parts])
         hi = np.concatenate([p[1] for p in parts])

@@ -1,7 +1,7 @@
 """Suffix-array dedup: bytes covered by a 200-byte string that also starts elsewhere.
 
 Texts are cut into segments of windows with a common anchor (segments.py). Segments whose
-anchor stands once can't repeat and drop out, after a shuffle of hashes alone. Equal
+anchor stands once, and once in them, can't repeat and drop out, after a shuffle of hashes alone. Equal
 segments are collapsed to one string with a weight; strings are then dealt to blocks by
 their anchors, and in each block interval expansion on the Burrows-Wheeler transform
 (bwt.py) decides, exactly, which windows repeat. Where many different strings share an
@@ -37,7 +37,7 @@ LADDER = (0.12, 0.48, 0.8, 0.96, 1.0)
 #: Different strings that may share an anchor in a block, and bytes of a block.
 HOT, BLOCK = 512, 1 << 20
 
-_SEGMENT = "anchor bigint, shash bigint, at int, n int"
+_SEGMENT = "anchor bigint, shash bigint, at int, n int, w int"
 
 
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -47,10 +47,10 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _cut(data: np.ndarray, off: np.ndarray, window: int, run: int) -> tuple[np.ndarray, ...]:
-    """Segments of texts in bytes: text, place in it, windows, anchor, and the hash of the whole string."""
-    text, at, n, anchor = segments.cut(byte_runs(data, run), off[:-1], np.diff(off), window, run)
+    """Segments of texts in bytes: text, place in it, windows, anchor, the hash of the whole string, and 2 where it may repeat in itself, else 1."""
+    text, at, n, anchor, double = segments.cut(byte_runs(data, run), off[:-1], np.diff(off), window, run)
     whole = hash_spans(data, at, at + n + window - 1, seed=2) if len(at) else np.zeros(0, np.uint64)
-    return text, at - off[text] if len(at) else at, n, (anchor + np.uint64(run)).view(np.int64), whole.view(np.int64)
+    return text, at - off[text] if len(at) else at, n, (anchor + np.uint64(run)).view(np.int64), whole.view(np.int64), 1 + double.astype(np.int32)
 
 
 def _segments(texts: DataFrame, window: int, run: int) -> DataFrame:
@@ -61,8 +61,8 @@ def _segments(texts: DataFrame, window: int, run: int) -> DataFrame:
             data, off = text_bytes(b.column(1))
             for i, j in slices(np.diff(off)):
                 part = off[i : j + 1]
-                text, at, n, anchor, whole = _cut(data[part[0] : part[-1]], part - part[0], window, run)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(text + i)), pa.array(anchor), pa.array(whole), pa.array(at, pa.int32()), pa.array(n, pa.int32())], ["k", "anchor", "shash", "at", "n"])
+                text, at, n, anchor, whole, w = _cut(data[part[0] : part[-1]], part - part[0], window, run)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(text + i)), pa.array(anchor), pa.array(whole), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(w)], ["k", "anchor", "shash", "at", "n", "w"])
 
     return texts.select("k", "text").mapInArrow(rows, f"k {kind}, {_SEGMENT}")
 
@@ -87,19 +87,19 @@ def _fetched(texts: DataFrame, first: DataFrame, window: int) -> DataFrame:
 
 
 def _recut(strings: DataFrame, window: int, run: int) -> DataFrame:
-    """Strings cut by longer runs: (anchor, shash) of the string, and (anchor2, shash2, off, n, s) of each piece."""
+    """Strings cut by longer runs: (anchor, shash) of the string, and (anchor2, shash2, off, n, w, s) of each piece."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = text_bytes(b.column(2))
             raw = data.tobytes()
-            text, at, n, anchor, whole = _cut(data, off, window, run)
+            text, at, n, anchor, whole, w = _cut(data, off, window, run)
             start = off[text] + at
             s = pa.array([raw[x:y] for x, y in zip(start.tolist(), (start + n + window - 1).tolist(), strict=True)], pa.binary())
             back = pa.array(text)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(back), b.column(1).take(back), pa.array(anchor), pa.array(whole), pa.array(at, pa.int32()), pa.array(n, pa.int32()), s], ["anchor", "shash", "anchor2", "shash2", "off", "n", "s"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(back), b.column(1).take(back), pa.array(anchor), pa.array(whole), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(w), s], ["anchor", "shash", "anchor2", "shash2", "off", "n", "w", "s"])
 
-    return strings.select("anchor", "shash", "s").mapInArrow(rows, "anchor bigint, shash bigint, anchor2 bigint, shash2 bigint, off int, n int, s binary")
+    return strings.select("anchor", "shash", "s").mapInArrow(rows, "anchor bigint, shash bigint, anchor2 bigint, shash2 bigint, off int, n int, w int, s binary")
 
 
 def _repeats(strings: DataFrame, window: int) -> DataFrame:
@@ -131,7 +131,7 @@ def repeated_spans(texts: DataFrame, *, window: int = WINDOW, hot: int = HOT) ->
     """(k, spans): for each row of ``keyed`` that has any, the byte ranges [lo, hi) that repeated windows cover; ranges may overlap."""
     runs = sorted({max(1, min(window, round(window * x))) for x in LADDER})
     found = _segments(texts, window, runs[0])
-    twice = found.groupBy("anchor").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("anchor")
+    twice = found.groupBy("anchor").agg(F.sum("w").alias("c")).where(F.col("c") > 1).select("anchor")
     places = stored(found.join(twice, "anchor"), "places")
     own = places.groupBy("anchor", "shash").agg(F.count("*").alias("copies"), F.min(F.struct("k", "at", "n")).alias("f"))
     per = own.groupBy("anchor").agg(F.count("*").alias("m"))
@@ -143,9 +143,9 @@ def repeated_spans(texts: DataFrame, *, window: int = WINDOW, hot: int = HOT) ->
         if not crowd.limit(1).count():
             break
         pieces = stored(_recut(crowd, window, run), "pieces")
-        split = pieces.select("anchor", "shash", "anchor2", "shash2", "off", F.col("n").alias("n2"))
-        finer = places.join(split, ["anchor", "shash"]).select("k", F.col("anchor2").alias("anchor"), F.col("shash2").alias("shash"), (F.col("at") + F.col("off")).alias("at"), F.col("n2").alias("n"))
-        twice = finer.groupBy("anchor").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("anchor")
+        split = pieces.select("anchor", "shash", "anchor2", "shash2", "off", F.col("n").alias("n2"), F.col("w").alias("w2"))
+        finer = places.join(split, ["anchor", "shash"]).select("k", F.col("anchor2").alias("anchor"), F.col("shash2").alias("shash"), (F.col("at") + F.col("off")).alias("at"), F.col("n2").alias("n"), F.col("w2").alias("w"))
+        twice = finer.groupBy("anchor").agg(F.sum("w").alias("c")).where(F.col("c") > 1).select("anchor")
         places = stored(finer.join(twice, "anchor"), "places")
         own = places.groupBy("anchor", "shash").agg(F.count("*").alias("copies"))
         per = own.groupBy("anchor").agg(F.count("*").alias("m"))
