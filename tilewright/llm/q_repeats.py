@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import suffix_dedup
+from tilewright.llm import debruijn, suffix_dedup
 from tilewright.llm.common import table
 
 
@@ -14,4 +14,9 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(suffix_dedup.with_spans(docs))
 
 
-QUERIES = {"op1_suffix_array_dedup": op1_suffix_array_dedup}
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without words that 50-word windows of documents with smaller ids cover."""
+    return debruijn.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {"op1_suffix_array_dedup": op1_suffix_array_dedup, "op5_substring_dedup": op5_substring_dedup}

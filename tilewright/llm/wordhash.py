@@ -102,3 +102,12 @@ def byte_runs(data: np.ndarray, width: int) -> np.ndarray:
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(table[data] * _powers(len(data), base), out=sums[1:])
     return mix((sums[width:] - sums[:n]) * _powers(n, pow(base, -1, _MOD)))
+
+
+def hash_stretches(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each values[starts[i]:ends[i]] of 64-bit values."""
+    base = (_BASE * 11) % _MOD | 1
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(mix(values ^ np.uint64(0x589965CC75374CC3)) * _powers(len(values), base), out=sums[1:])
+    back = _powers(len(values) + 1, pow(base, -1, _MOD))
+    return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
