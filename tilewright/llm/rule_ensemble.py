@@ -127,6 +127,8 @@ def fit(x: np.ndarray, y: np.ndarray, names: tuple[str, ...] = FEATURES, *, tree
         if (key := on.tobytes()) not in seen and 0 < on.sum() < len(y):
             seen.add(key)
             rules.append(Rule(path))
+    if not rules:  # no value tells the classes apart
+        return Model(names, float(np.log(share / (1 - share))))
     a = np.stack([r.on(x) for r in rules], 1).astype(float)
     mean = a.mean(0)
     sd = np.sqrt(np.maximum(mean * (1 - mean), 1e-4))
