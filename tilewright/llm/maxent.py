@@ -8,8 +8,8 @@ share of the word's count. Weights are trained by distributed gradient updates:
 walks its tokens with stochastic gradient steps from the common weights, and tasks' weights
 are averaged, bucket by bucket, in one aggregation an epoch.
 
-Texts are tokenized once into blocks of about 3 MB: token numbers, and the block's distinct
-words with their counts. Counts are summed over all blocks, and each block gets the counts
+Texts are tokenized once into blocks of about 8 MB: token numbers, and the block's distinct
+words, by 64-bit hashes, with their counts. Counts are summed over all blocks, and each block gets the counts
 of its own words back by a join; no table of all words is ever gathered. A block's words
 stand once in it, so even the most frequent word is a row a block.
 
@@ -35,8 +35,9 @@ from tilewright.llm.wordhash import hash_spans, hash_words, mix
 CLASSES, FREQUENT, BUCKETS, FEATURES = 64, 31, 4096, 4
 #: A word of fewer training tokens stands in features by its first letters.
 RARE = 256
-BLOCK = 3 << 20
-_END = b""
+BLOCK = 8 << 20
+#: What stands for the end token among hashes of words.
+_END = np.uint64(0)
 
 
 def blocks(docs: DataFrame, held: Column, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -57,7 +58,7 @@ def blocks(docs: DataFrame, held: Column, *, key: str = "doc_id", text: str = "t
         if waiting:
             yield _block(pa.Table.from_batches(waiting))
 
-    schema = "bid bigint, ids array<bigint>, held array<boolean>, sizes array<int>, tokens binary, words array<binary>, tf array<int>, shape array<bigint>"
+    schema = "bid bigint, ids array<bigint>, held array<boolean>, sizes array<int>, tokens binary, words array<bigint>, tf array<int>, shape array<int>"
     return docs.select(F.col(key).cast("long").alias("id"), held.alias("held"), text).mapInArrow(rows, schema)
 
 
@@ -65,21 +66,25 @@ def _block(t: pa.Table) -> pa.RecordBatch:
     held = np.asarray(t.column(1).combine_chunks().fill_null(False))
     data, off = text_bytes(t.column(2))
     data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
-    h, n, starts, ends = hash_words(data, off)
+    hashes, counts, letters = [], [], []
+    for i, j in slices(np.diff(off)):
+        part = data[off[i] : off[j]]
+        h, n, starts, ends = hash_words(part, off[i : j + 1] - off[i])
+        hashes.append(np.maximum(h, 1))
+        counts.append(n)
+        letters.append((hash_spans(part, starts, np.minimum(ends, starts + 3), seed=9) >> np.uint64(34)).astype(np.int32))
+    h, n, letters = (np.concatenate(x) if x else np.zeros(0, k) for x, k in ((hashes, np.uint64), (counts, np.int64), (letters, np.int32)))
     unique, first, code = np.unique(h, return_index=True, return_inverse=True)
-    # the end token has the number after all words
-    last, sizes = len(unique), n + 1
+    # the end token comes before all words, as the least hash
+    sizes = n + 1
     at = np.cumsum(sizes)
-    tokens = np.full(int(at[-1]) if len(at) else 0, last, np.int32)
+    tokens = np.zeros(int(at[-1]) if len(at) else 0, np.int32)
     inside = np.ones(len(tokens), bool)
     inside[at - 1] = False
-    tokens[inside] = code
+    tokens[inside] = code + 1
     learn = np.repeat(~held, sizes)
-    tf = np.bincount(tokens[learn], minlength=last + 1).astype(np.int32)
-    raw = data.tobytes()
-    words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)] + [_END]
-    letters = hash_spans(data, starts[first], np.minimum(ends[first], starts[first] + 3), seed=9) if last else np.zeros(0, np.uint64)
-    shape = np.append(letters, np.uint64(1)).view(np.int64)
+    tf = np.bincount(tokens[learn], minlength=len(unique) + 1).astype(np.int32)
+    words, shape = np.append(_END, unique).view(np.int64), np.append(np.int32(0), letters[first])
     one = lambda x, kind: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, kind))
     return pa.RecordBatch.from_arrays(
         [
@@ -87,10 +92,10 @@ def _block(t: pa.Table) -> pa.RecordBatch:
             one(t.column(0).combine_chunks(), pa.int64()),
             one(held, pa.bool_()),
             one(sizes, pa.int32()),
-            pa.array([pa.compress(tokens.tobytes(), "zstd", asbytes=True)], pa.binary()),
-            one(words, pa.binary()),
+            pa.array([pa.compress(tokens.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)], pa.binary()),
+            one(words, pa.int64()),
             one(tf, pa.int32()),
-            one(shape, pa.int64()),
+            one(shape, pa.int32()),
         ],
         ["bid", "ids", "held", "sizes", "tokens", "words", "tf", "shape"],
     )
@@ -99,48 +104,47 @@ def _block(t: pa.Table) -> pa.RecordBatch:
 class Tables:
     """What all tasks share: bounded by the numbers of classes and buckets."""
 
-    def __init__(self, frequent: dict[bytes, int], totals: np.ndarray, distinct: np.ndarray, tokens: int, types: int) -> None:
+    def __init__(self, frequent: dict[int, int], totals: np.ndarray, distinct: np.ndarray, tokens: int, types: int) -> None:
         self.frequent, self.totals, self.distinct, self.tokens, self.types = frequent, totals, distinct, tokens, types
 
 
-def shape_class(shape: np.ndarray) -> np.ndarray:
-    return 1 + FREQUENT + (mix(shape.view(np.uint64)) % np.uint64(CLASSES - FREQUENT - 1)).astype(np.int64)
+def classes_of(words: np.ndarray, shape: np.ndarray, frequent: dict[int, int]) -> np.ndarray:
+    """Class of each word, by its hash and the hash of its first letters."""
+    out = 1 + FREQUENT + (mix(shape.astype(np.uint64)) % np.uint64(CLASSES - FREQUENT - 1)).astype(np.int64)
+    keys = np.array(sorted(frequent), np.int64)
+    if len(keys) and len(words):
+        at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
+        hit = keys[at] == words
+        out[hit] = np.array([frequent[k] for k in keys.tolist()])[at[hit]]
+    return out
 
 
 def _opened(row: dict, t: Tables) -> tuple:
     """Of a block: tokens, counts, classes, feature rows, sizes."""
     sizes = np.asarray(row["sizes"], np.int64)
-    tokens = np.frombuffer(pa.decompress(row["tokens"], decompressed_size=int(sizes.sum()) * 4, codec="zstd", asbytes=True), np.int32)
-    words, shape = row["words"], np.asarray(row["shape"], np.int64)
-    count = np.zeros(len(words), np.int64)
-    count[np.asarray(row["at"], np.int64)] = np.asarray(row["c"], np.int64)
-    cls = shape_class(shape)
-    for i, w in enumerate(words):
-        if w in t.frequent:
-            cls[i] = t.frequent[w]
-    cls[-1] = 0
-    symbol = np.where(count >= RARE, np.array([hash_word(w) if c >= RARE else 0 for w, c in zip(words, count, strict=True)], np.uint64), shape.view(np.uint64))
-    s = symbol[tokens]
+    # bytes lie plane by plane, which packs better
+    planes = np.frombuffer(pa.decompress(row["tokens"], decompressed_size=int(sizes.sum()) * 4, codec="zstd", asbytes=True), np.uint8)
+    tokens = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.int32).ravel()
+    # tokens are numbers of words in the order of their unsigned hashes, and so are shapes
+    words, count, shape = np.asarray(row["words"], np.int64), np.asarray(row["c"], np.int64), np.asarray(row["shape"], np.int64)
+    order = np.argsort(words.view(np.uint64))
+    words, count = words[order], count[order]
+    cls = classes_of(words, shape, t.frequent)
+    s = mix(np.where(count >= RARE, words, shape).view(np.uint64))[tokens]
     start = np.cumsum(sizes) - sizes
 
     def before(k: int) -> np.ndarray:
         out = np.zeros(len(s), np.uint64)
         out[k:] = s[:-k]
         for d in range(k):
-            some = start[sizes > d] + d
-            out[some] = 0
+            out[start[sizes > d] + d] = 0
         return out
 
-    one, two, three = before(1), before(2), before(3)
+    one, two = before(1), before(2)
     mod = np.uint64(BUCKETS)
-    feats = [mix(one ^ np.uint64(11)) % mod, mix(mix(one ^ np.uint64(23)) + two) % mod, mix(two ^ np.uint64(37)) % mod, mix(three ^ np.uint64(53)) % mod]
-    return tokens, count, cls, np.stack(feats).astype(np.int64), sizes
-
-
-def hash_word(w: bytes) -> np.uint64:
-    import xxhash
-
-    return np.uint64(xxhash.xxh64_intdigest(w, seed=5))
+    feats = [(mix(one ^ np.uint64(11)) % mod).astype(np.uint16), (mix(mix(one ^ np.uint64(23)) + two) % mod).astype(np.uint16), (mix(two ^ np.uint64(37)) % mod).astype(np.uint16)]
+    feats.append((mix(before(3) ^ np.uint64(53)) % mod).astype(np.uint16))
+    return tokens, count, cls, np.stack(feats), sizes
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -158,8 +162,10 @@ def _walk(weights: np.ndarray, seen: np.ndarray, feats: np.ndarray, target: np.n
         g = -_softmax(z)
         g[np.arange(len(y)), y] += 1
         for k in range(FEATURES):
-            order = np.argsort(f[k], kind="stable")
-            buckets, head = np.unique(f[k][order], return_index=True)
+            order = np.argsort(f[k], kind="stable")  # a radix sort, at 16 bits
+            ranked = f[k][order]
+            head = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+            buckets = ranked[head]
             seen[buckets] += np.diff(np.append(head, len(y)))
             weights[buckets] += (rate / np.sqrt(1 + seen[buckets]))[:, None] * np.add.reduceat(g[order], head)
         seen[-1] += len(y)
@@ -197,34 +203,30 @@ def train(counted: DataFrame, tables: Tables, *, epochs: int = 1) -> np.ndarray:
 
 
 def _lines(b: pa.RecordBatch) -> Iterator[dict]:
-    """Rows as dicts of numpy arrays, bytes and lists of bytes."""
+    """Rows as dicts of numpy arrays and bytes."""
     for i in range(len(b)):
         out = {}
         for k, name in enumerate(b.schema.names):
             v = b.column(k)[i]
             if name in ("tokens", "bid"):
                 out[name] = v.as_py()
-            elif name == "words":
-                out[name] = v.values.to_pylist()
             else:
                 out[name] = v.values.to_numpy(zero_copy_only=False) if v.is_valid else np.zeros(0, np.int64)
         yield out
 
 
 def counted_blocks(made: DataFrame) -> tuple[DataFrame, Tables]:
-    """Blocks with the training counts of their words (columns at and c), and the shared tables. made must be stored."""
-    pairs = made.select("bid", F.posexplode(F.arrays_zip("words", "tf", "shape")).alias("at", "z")).select("bid", "at", "z.words", "z.tf", "z.shape")
-    total = stored(pairs.groupBy("words").agg(F.sum("tf").alias("c"), F.first("shape").alias("shape")).where(F.col("c") > 0), "counts")
+    """Blocks with the training counts of their words (columns words and c, in any order), and the shared tables. made must be stored."""
+    pairs = made.select("bid", F.explode(F.arrays_zip("words", "tf", "shape")).alias("z"))
+    total = stored(pairs.select("z.words", "z.tf", "z.shape").where(F.col("tf") > 0).groupBy("words").agg(F.sum("tf").alias("c"), F.first("shape").alias("shape")), "counts")
     whole = total.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    top = [r["words"] for r in total.where(F.octet_length("words") > 0).orderBy(F.col("c").desc(), "words").limit(FREQUENT).collect()]
-    frequent = {bytes(w): i + 1 for i, w in enumerate(top)} | {_END: 0}
+    top = [r["words"] for r in total.where(F.col("words") != int(_END)).orderBy(F.col("c").desc(), "words").limit(FREQUENT).collect()]
+    frequent = {w: i + 1 for i, w in enumerate(top)} | {int(_END): 0}
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, v = np.zeros(CLASSES), np.zeros(CLASSES)
         for b in batches:
-            cls = shape_class(np.asarray(b.column(2)).astype(np.int64))
-            for i in np.flatnonzero([w in frequent for w in b.column(0).to_pylist()]):
-                cls[i] = frequent[b.column(0)[i].as_py()]
+            cls = classes_of(np.asarray(b.column(0)).astype(np.int64), np.asarray(b.column(2)).astype(np.int64), frequent)
             n += np.bincount(cls, np.asarray(b.column(1)), CLASSES)
             v += np.bincount(cls, minlength=CLASSES)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES), pa.int32()), pa.array(n), pa.array(v)], ["k", "n", "v"])
@@ -233,9 +235,12 @@ def counted_blocks(made: DataFrame) -> tuple[DataFrame, Tables]:
     totals, distinct = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in per:
         totals[r["k"]], distinct[r["k"]] = r["n"], r["v"]
-    own = pairs.select("bid", "at", "words").join(total.select("words", "c"), "words").groupBy("bid").agg(F.collect_list(F.struct("at", "c")).alias("ac"))
-    counted = made.join(own, "bid", "left").select("bid", "ids", "held", "sizes", "tokens", "words", "shape", F.col("ac.at").alias("at"), F.col("ac.c").alias("c"))
-    return stored(counted, "blocks"), Tables(frequent, totals, distinct, int(whole["n"] or 0), int(whole["v"]))
+    # every word comes back, those without a count too, so the block's own list needn't travel along
+    own = pairs.select("bid", "z.words").join(total.select("words", "c"), "words", "left").groupBy("bid").agg(F.collect_list(F.struct("words", F.coalesce("c", F.lit(0)).alias("c"))).alias("hc"))
+    counted = made.select("bid", "ids", "held", "sizes", "tokens", "shape").join(own, "bid").select("bid", "ids", "held", "sizes", "tokens", "shape", F.col("hc.words").alias("words"), F.col("hc.c").alias("c"))
+    kept = stored(counted, "blocks")
+    discard(total)
+    return kept, Tables(frequent, totals, distinct, int(whole["n"] or 0), int(whole["v"]))
 
 
 def scored(counted: DataFrame, tables: Tables, weights: np.ndarray) -> DataFrame:
