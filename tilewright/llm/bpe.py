@@ -204,14 +204,14 @@ class Encoder:
         size[new] = n
         known = np.flatnonzero(rank >= 0)
         if len(known):
-            size[known] = self.lexicon.starts[rank[known] + 1] - self.lexicon.starts[rank[known]]
+            size[known] = self.lexicon.starts[rank[known] + 1].astype(np.int64) - self.lexicon.starts[rank[known]]
         for i in special:
             size[i] = 1
         start = np.cumsum(size) - size
         out = np.zeros(int(size.sum()), np.int64)
         out[spread(start[new], n)] = merged
         if len(known):
-            out[spread(start[known], size[known])] = self.lexicon.ids[spread(self.lexicon.starts[rank[known]], size[known])]
+            out[spread(start[known], size[known])] = self.lexicon.ids[spread(self.lexicon.starts[rank[known]].astype(np.int64), size[known])]
         for i, t in special.items():
             out[start[i]] = t
         return out, size
@@ -238,7 +238,7 @@ def word_counts(docs: DataFrame, vocab_text: str, text: str = "text") -> DataFra
                 got = pc.value_counts(pa.array(found, pa.string()))
                 for w, n in zip(got.field(0).to_pylist(), got.field(1).to_pylist(), strict=True):
                     seen[w] = seen.get(w, 0) + n
-                if len(seen) > 400_000:
+                if len(seen) > 200_000:
                     yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
                     seen = {}
         yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])

@@ -8,7 +8,6 @@ from a file; lookups walk all words of a batch at once, a byte a step.
 
 from __future__ import annotations
 
-import hashlib
 import os
 import tempfile
 
@@ -64,13 +63,15 @@ def build(entries: list[tuple[bytes, tuple[int, ...]]]) -> bytes:
             skips.append(skip)
             skip += n[2]
     parts = (
-        np.array(keys, np.int64),
-        np.array(targets, np.int64),
-        np.array(skips, np.int64),
-        np.array([n[0] for n in order], np.int64),
-        np.cumsum([0, *(len(ids) for _, ids in entries)], dtype=np.int64),
-        np.array([i for _, ids in entries for i in ids], np.int64),
+        np.array(keys, np.uint32),
+        np.array(targets, np.uint32),
+        np.array(skips, np.uint32),
+        np.array([n[0] for n in order], np.uint32),
+        np.cumsum([0, *(len(ids) for _, ids in entries)]).astype(np.uint32),
+        np.array([i for _, ids in entries for i in ids], np.uint32),
     )
+    if len(order) > 1 << 24:
+        raise ValueError("too many states for 32-bit keys")
     return _MAGIC + np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(p.tobytes() for p in parts)
 
 
@@ -83,21 +84,20 @@ class Transducer:
             raise ValueError("not a transducer")
         sizes, at, parts = np.frombuffer(raw[8:56], np.int64), 56, []
         for n in sizes.tolist():
-            parts.append(np.frombuffer(raw[at : at + 8 * n], np.int64))
-            at += 8 * n
+            parts.append(np.frombuffer(raw[at : at + 4 * n], np.uint32))
+            at += 4 * n
         self.keys, self.targets, self.skips, self.final, self.starts, self.ids = parts
 
     @classmethod
     def mapped(cls, compiled: bytes) -> Transducer:
-        """Maps a file in this process's own temporary folder that all workers of the host share; its name is the content's digest."""
-        path = os.path.join(tempfile.gettempdir(), f"lexicon-{hashlib.sha256(compiled).hexdigest()[:32]}")
-        if not os.path.exists(path) or os.path.getsize(path) != len(compiled):
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            fd, part = tempfile.mkstemp(dir=os.path.dirname(path))
+        """Maps a file of this process's own temporary folder. Its name is gone at once; the pages stay while they are mapped."""
+        fd, path = tempfile.mkstemp(prefix="lexicon-")
+        try:
             with os.fdopen(fd, "wb") as f:
                 f.write(compiled)
-            os.replace(part, path)
-        return cls(path)
+            return cls(path)
+        finally:
+            os.unlink(path)
 
     def ranks(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Rank of each word, data[off[i]:off[i+1]]; -1 where the lexicon lacks it."""
@@ -111,12 +111,12 @@ class Transducer:
         state, rank, at = np.zeros(len(live), np.int64), np.zeros(len(live), np.int64), off[live].astype(np.int64)
         left = size[live].astype(np.int64)
         while len(live):
-            key = state << 8 | data[at]
+            key = (state << 8 | data[at]).astype(np.uint32)
             j = np.searchsorted(self.keys, key)
             j[j == len(self.keys)] = 0
             ok = self.keys[j] == key
             live, j, at, left, rank = live[ok], j[ok], at[ok] + 1, left[ok] - 1, rank[ok]
-            state, rank = self.targets[j], rank + self.skips[j]
+            state, rank = self.targets[j].astype(np.int64), rank + self.skips[j]
             ended = left == 0
             if ended.any():
                 hit = ended & (self.final[state] == 1)
