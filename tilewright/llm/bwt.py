@@ -1,6 +1,6 @@
 """Repeated windows of a block of strings, by interval expansion on its Burrows-Wheeler transform.
 
-Suffixes are sorted to the window's depth (8 bytes, then doubling), which gives the
+Suffixes are sorted to the window's depth (7 bytes, then doubling), which gives the
 transform. Then the intervals of suffixes with a common prefix are derived breadth-first:
 from the interval of a string w of length l, a backward step by each character c that
 precedes its suffixes gives the interval of cw. The first interval to end at a place marks
@@ -19,17 +19,15 @@ _WIDE = 64
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of text (symbols 0..256, 0 smallest), sorted by their first ``depth`` symbols at least; ties stay in place."""
+    """Suffixes of text (symbols 0..256, 0 smallest), sorted by their first ``depth`` symbols at least; ties are in any order."""
     n = len(text)
-    rank = text.astype(np.int64)
-    have = 1
-    # four symbols of 9 bits to begin with
-    while have < 4:
-        shifted = np.zeros(n, np.int64)
-        shifted[: n - have] = rank[have:]
-        rank = rank << (9 * have) | shifted
-        have *= 2
-    order = np.argsort(rank, kind="stable")
+    # seven symbols of 9 bits to begin with
+    have = 7
+    rank = np.zeros(n, np.int64)
+    for k in range(have):
+        rank <<= 9
+        rank[: max(0, n - k)] |= text[k:]
+    order = np.argsort(rank)
     rank = _dense(rank[order], order)
     while have < depth:
         step = min(have, depth - have)
@@ -44,7 +42,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
         some = order[places]
         key = rank[some] * (n + 1) + shifted[some]
         # a tie's first place is its rank, so places of ties are in the order of ranks
-        some = some[np.argsort(key, kind="stable")]
+        some = some[np.argsort(key)]
         order[places] = some
         rank = _refined(rank, shifted, order)
         have += step
