@@ -33,7 +33,7 @@ WEIGHTS = {"clean": 0.98, "poor": 0.02, "toxic": 0.0}
 #: Labelled documents the classifier learns from, and words of its lexicon, at most.
 MAX_TRAIN, LEXICON = 12_000, 64
 #: Upper ends of bins of each statistic; the last bin is open.
-CUTS = {"symbols": (0.0, 0.01, 0.03, 0.1), "upper": (0.01, 0.04, 0.1, 0.3), "bangs": (0.0, 0.01, 0.05), "distinct": (0.1, 0.25, 0.4, 0.5, 0.6), "hits": (0.0, 1.0, 2.0)}
+CUTS = {"symbols": (0.0, 0.01, 0.03, 0.1), "upper": (0.01, 0.04, 0.1, 0.3), "distinct": (0.1, 0.25, 0.4, 0.5, 0.6), "hits": (0.0, 1.0, 2.0)}
 
 
 @dataclass
@@ -43,19 +43,27 @@ class Classifier:
     table: dict[str, list[list[float]]]  # statistic -> domain -> log of each bin's share
 
 
+def terms(text: Column) -> Column:
+    """Lower-case stretches of letters."""
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+")
+
+
 def statistics(text: Column, lexicon: list[str]) -> Column:
     """Struct: n_tokens and the bin of each statistic."""
+    chars = F.greatest(F.char_length(F.coalesce(text, F.lit(""))), F.lit(1)).cast("double")
+    found = F.size(F.array_intersect(terms(text), F.array(*[F.lit(x) for x in lexicon]))) if lexicon else F.lit(0)
 
     def of(w: Column) -> Column:
-        unique = F.array_distinct(w)
-        chars = F.greatest(F.char_length(F.array_join(w, "")), F.lit(1)).cast("double")
-        found = F.size(F.array_intersect(F.transform(F.filter(unique, lambda x: F.char_length(x) <= 24), lambda x: F.regexp_replace(F.lower(x), r"[^\p{L}]+$", "")), F.array(*[F.lit(x) for x in lexicon]))) if lexicon else F.lit(0)
-        values = {"symbols": count_of(text, "[#*$%&|<>]") / chars, "upper": count_of(text, "[A-Z]") / chars, "bangs": count_of(text, "!") / chars, "distinct": F.size(unique) / F.greatest(F.size(w), F.lit(1)).cast("double"), "hits": found.cast("double")}
-        return F.struct(F.size(w).cast("long").alias("n_tokens"), *[_bin(v, CUTS[n]).alias(n) for n, v in values.items()])
+        values = {"symbols": count_of(text, "[#*$%&|<>]") / chars, "upper": count_of(text, "[A-Z]") / chars, "distinct": F.size(F.array_distinct(w)) / F.greatest(F.size(w), F.lit(1)).cast("double"), "hits": found.cast("double")}
+        return F.struct(F.size(w).cast("long").alias("n_tokens"), *[_binned(v, CUTS[n]).alias(n) for n, v in values.items()])
 
     return let(words(text), of)
 
 
+def _binned(value: Column, cuts: tuple[float, ...]) -> Column:
+    return let(value, lambda x: _bin(x, cuts))
+
+
 def _bin(value: Column, cuts: tuple[float, ...]) -> Column:
     out = F.lit(len(cuts))
     for i, c in reversed(list(enumerate(cuts))):
@@ -73,20 +81,20 @@ def _domains(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 def learn(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, lexicon: int = LEXICON) -> Classifier:
     sample = stored(_domains(docs, labels, max_train), "sample")
     # words that toxic documents have far oftener than others
-    each = sample.select("domain", F.explode(F.array_distinct(F.transform(words(F.col("text")), lambda x: F.regexp_replace(F.lower(x), r"[^\p{L}]+$", "")))).alias("word"))
+    each = sample.select("domain", F.explode(F.array_distinct(terms(F.col("text")))).alias("word"))
     sizes = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     toxic, rest = sizes.get("toxic", 0), max(1, sum(sizes.values()) - sizes.get("toxic", 0))
     share = each.groupBy("word").agg(F.count_if(F.col("domain") == "toxic").alias("t"), F.count_if(F.col("domain") != "toxic").alias("o"))
     ratio = (F.col("t") / F.lit(float(max(1, toxic)))) / ((F.col("o") + 1) / F.lit(float(rest)))
     picked = share.where((F.col("t") >= max(3, toxic // 50)) & (ratio >= 50)).orderBy(ratio.desc(), "word").limit(lexicon)
-    terms = sorted(r["word"] for r in picked.collect() if r["word"])
-    binned = sample.select("domain", statistics(F.col("text"), terms).alias("s"))
+    lexical = sorted(r["word"] for r in picked.collect() if r["word"])
+    binned = sample.select("domain", statistics(F.col("text"), lexical).alias("s"))
     got = binned.groupBy("domain", *[F.col(f"s.{n}").alias(n) for n in CUTS]).agg(F.count("*").alias("n")).collect()
     discard(sample)
     total = sum(r["n"] for r in got)
     count = {d: sum(r["n"] for r in got if r["domain"] == d) for d in DOMAINS}
     table = {n: [[math.log((sum(r["n"] for r in got if r["domain"] == d and r[n] == b) + 0.05) / (count[d] + 0.05 * (len(c) + 1))) for b in range(len(c) + 1)] for d in DOMAINS] for n, c in CUTS.items()}
-    return Classifier(terms, {d: math.log(count[d] / total) if count[d] else -math.inf for d in DOMAINS}, table)
+    return Classifier(lexical, {d: math.log(count[d] / total) if count[d] else -math.inf for d in DOMAINS}, table)
 
 
 def posteriors(model: Classifier, s: Column) -> dict[str, Column]:
@@ -104,13 +112,14 @@ def posteriors(model: Classifier, s: Column) -> dict[str, Column]:
     return {d: 1 / sum((F.exp(F.least(logs[o] - logs[d], F.lit(500.0))) for o in live if o != d), F.lit(1.0)) if d in live else F.lit(0.0) for d in DOMAINS}
 
 
-def rated(docs: DataFrame, model: Classifier, *, weights: dict[str, float] | None = None, max_rate: float = 2.0, headroom: float = 1.0, steps: int = 30, pull: float = 1e-4, step: float = 0.9, tolerance: float = 5e-4, text: str = "text", into: str = "tw_mix") -> DataFrame:
-    """docs with a struct: n_tokens, p_<domain>, rate."""
+def rated(docs: DataFrame, model: Classifier, *, weights: dict[str, float] | None = None, max_rate: float = 2.0, headroom: float = 1.0, steps: int = 30, pull: float = 1e-4, step: float = 0.9, tolerance: float = 5e-4, text: str = "text", into: str = "tw_mix", ready: bool = False) -> DataFrame:
+    """docs with a struct: n_tokens, p_<domain>, rate. ready: docs have the statistics in that column already."""
     weights = weights or WEIGHTS
-    base = docs.withColumn(into, statistics(F.col(text), model.lexicon))
-    cells = stored(base.groupBy(*[F.col(f"{into}.{n}").alias(n) for n in CUTS]).agg(F.sum(f"{into}.n_tokens").cast("double").alias("tokens")), "cells")
+    base = docs if ready else docs.withColumn(into, statistics(F.col(text), model.lexicon))
+    # a few thousand cells at most, so one file of them
+    cells = stored(base.groupBy(*[F.col(f"{into}.{n}").alias(n) for n in CUTS]).agg(F.sum(f"{into}.n_tokens").cast("double").alias("tokens")).coalesce(1), "cells")
     p = posteriors(model, F.struct(*[F.col(n) for n in CUTS]))
-    mass = stored(cells.select("tokens", *[p[d].alias(f"p_{d}") for d in DOMAINS]), "cells")
+    mass = stored(cells.select("tokens", *[p[d].alias(f"p_{d}") for d in DOMAINS]).coalesce(1), "cells")
     whole = mass.agg(*[F.sum(F.col("tokens") * F.col(f"p_{d}")).alias(d) for d in DOMAINS]).first()
     have = {d: whole[d] or 0.0 for d in DOMAINS}
     lead = DOMAINS[0]
@@ -131,7 +140,7 @@ def rated(docs: DataFrame, model: Classifier, *, weights: dict[str, float] | Non
         q = F.struct(s["n_tokens"].alias("n_tokens"), *[c.alias(f"p_{d}") for d, c in posteriors(model, s).items()])
         return let(q, lambda x: x.withField("rate", _rate(moves, {d: x[f"p_{d}"] for d in DOMAINS}, step, pull, max_rate)))
 
-    return docs.withColumn(into, let(statistics(F.col(text), model.lexicon), of))
+    return docs.withColumn(into, let(F.col(into) if ready else statistics(F.col(text), model.lexicon), of))
 
 
 def _rate(moves: list[dict[str, float]], p: dict[str, Column], step: float, pull: float, top: float) -> Column:
