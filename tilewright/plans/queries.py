@@ -52,8 +52,8 @@ def visible_boxes_grid(s: SparkSession, d: str) -> DataFrame:
     return tiles.visible_boxes(_pos(s, d), _ann(s, d))
 
 
-def _tried(s: SparkSession, d: str, thin: int = 20) -> DataFrame:
-    return tiles.judged(tiles.candidates(view(s, d, "slides"), TRIES, EVERY), _ann(s, d).where(F.col("ann_idx") % thin == 0), TARGET, _tissue())
+def _tried(s: SparkSession, d: str) -> DataFrame:
+    return tiles.judged(tiles.candidates(view(s, d, "slides"), TRIES, EVERY), _ann(s, d), TARGET, _tissue())
 
 
 def tile_has_annotation(s: SparkSession, d: str) -> DataFrame:
