@@ -1,10 +1,13 @@
 """Queries that must look at all rows of their tables, against plain Python and SQL without the cuts."""
 
+import hashlib
+
 import duckdb
 import numpy as np
 import pytest
 from test_queries import TABLES, rows
 
+from tilewright.operators import sampling
 from tilewright.plans.queries import ORACLE_SQL, QUERIES
 from tilewright.sources.views import view
 
@@ -32,3 +35,43 @@ def test_documents_hold_all_annotations(spark, name):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     whole = ORACLE_SQL[name].replace("ann_idx < 24 AND ", "")
     assert rows(QUERIES[name](spark, SMALL).toPandas()) == rows(duck.sql(whole).df())
+
+
+def test_each_slide_has_a_target_of_its_own(spark):
+    sizes = {1: (4000, 3000), 2: (1500, 1030), 3: (800, 900)}
+    rng = np.random.default_rng(4)
+    boxes = [(s, i, float(x), float(y), float(x + 300), float(y + 200)) for s, n in ((1, 9), (2, 5), (3, 3)) for i in range(n) for x, y in [rng.integers(0, 2000, 2) if s < 3 else (100, 100)]]
+    slides = spark.createDataFrame([(s, *v) for s, v in sizes.items()], "slide_id long, width long, height long")
+    ann = spark.createDataFrame(boxes, "slide_id long, ann_idx long, x1 double, y1 double, x2 double, y2 double")
+    out = sampling.sampled(slides, ann, lambda x, y: x % 5 != 0, per=30, every=40).cache()
+    stats = {r.slide_id: tuple(r)[1:] for r in sampling.reject_stats(out).collect()}
+    made = sorted((r.slide_id, r.ordinal, r.x0, r.y0) for r in sampling.negatives(out).collect())
+    want_made = []
+    for s, (width, height) in sizes.items():
+        mine = np.array([b[2:] for b in boxes if b[0] == s])
+        seen, radius, n, tries = set(), 0.15, dict.fromkeys(("accepted", "duplicate", "annotation", "low_tissue"), 0), 0
+        while n["accepted"] < len(mine) and tries < 30 * len(mine):
+            tries += 1
+            if tries % 40 == 0:
+                radius = min(1.5, radius + 0.10)
+            half, at = min(width, height) * radius, []
+            for extent, tag in ((width, "x"), (height, "y")):
+                u = int(hashlib.md5(f"42|{s}|{tries - 1}|{tag}".encode()).hexdigest()[:8], 16) / 4294967296.0
+                at.append(max(0, min(round(extent / 2 - half + 2 * half * u) - 512, max(0, extent - 1024))))
+            why = "duplicate" if tuple(at) in seen else "annotation" if shows(mine, *at) else "low_tissue" if at[0] % 5 == 0 else "accepted"
+            seen.add(tuple(at))
+            n[why] += 1
+            if why == "accepted":
+                want_made.append((s, n[why], *at))
+        short = len(mine) - n["accepted"]
+        assert stats[s] == (*n.values(), short, short)
+    assert made == want_made and len({s for s, *_ in made}) > 1 and stats[3][0] == 0
+
+
+def test_negatives_reach_the_positive_count_or_the_limit_of_tries(spark):
+    n = dict(view(spark, SMALL, "annotations").groupBy("slide_id").count().collect())
+    got = QUERIES["negative_reject_stats"](spark, SMALL).collect()
+    assert len(got) == len(n)
+    for r in got:
+        tries = r.accepted + r.duplicate + r.annotation + r.low_tissue
+        assert r.accepted + r.failed_neg == n[r.slide_id] and (r.failed_neg == 0 or tries == 5000 * n[r.slide_id])

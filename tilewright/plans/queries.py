@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.operators import geojson, labels, pairing, pixels, tiles
+from tilewright.operators import geojson, labels, pairing, pixels, sampling, tiles
 from tilewright.sources.views import duckdb_with, view
 
-#: Negatives sought in each slide, tries at most, and tries between two radii, in the queries.
+#: Tries between two radii in the queries of fixed tries; with the first two, what the SQL twins of the sampling queries still stop at.
 TARGET, TRIES, EVERY = 20, 400, 50
 
-def _tissue():  # noqa: ANN202
+def _tissue(x0, y0):  # noqa: ANN001, ANN202
     """Stands in for the tissue test, as the driver's tables have no images."""
-    return (F.col("x0") * 7 + F.col("y0") * 13) % 10 < 8
+    return (x0 * 7 + y0 * 13) % 10 < 8
 
 
 def _ann(s: SparkSession, d: str) -> DataFrame:
@@ -52,8 +52,8 @@ def visible_boxes_grid(s: SparkSession, d: str) -> DataFrame:
     return tiles.visible_boxes(_pos(s, d), _ann(s, d))
 
 
-def _tried(s: SparkSession, d: str) -> DataFrame:
-    return tiles.judged(tiles.candidates(view(s, d, "slides"), TRIES, EVERY), _ann(s, d), TARGET, _tissue())
+def _sampled(s: SparkSession, d: str) -> DataFrame:
+    return sampling.sampled(view(s, d, "slides"), _ann(s, d), _tissue)
 
 
 def tile_has_annotation(s: SparkSession, d: str) -> DataFrame:
@@ -65,11 +65,11 @@ def clean_tiles(s: SparkSession, d: str) -> DataFrame:
 
 
 def negative_tiles(s: SparkSession, d: str) -> DataFrame:
-    return tiles.negatives(_tried(s, d))
+    return sampling.negatives(_sampled(s, d))
 
 
 def negative_reject_stats(s: SparkSession, d: str) -> DataFrame:
-    return tiles.reject_stats(_tried(s, d), TARGET)
+    return sampling.reject_stats(_sampled(s, d))
 
 
 def tile_split_patch(s: SparkSession, d: str) -> DataFrame:
@@ -125,7 +125,7 @@ def stem_difference(s: SparkSession, d: str) -> DataFrame:
 
 
 def samples_union_variants(s: SparkSession, d: str) -> DataFrame:
-    both = _pos(s, d).select("slide_id", "stem").unionByName(tiles.negatives(_tried(s, d)).select("slide_id", "stem"))
+    both = _pos(s, d).select("slide_id", "stem").unionByName(sampling.negatives(_sampled(s, d)).select("slide_id", "stem"))
     return both.select("slide_id", F.explode(F.array(*[F.lit(v) for v in pixels.VARIANTS])).alias("variant"), "stem").select("slide_id", F.concat_ws("_", "stem", "variant").alias("image"))
 
 
