@@ -32,8 +32,10 @@ DOMAINS = ("clean", "poor", "toxic")
 WEIGHTS = {"clean": 0.98, "poor": 0.02, "toxic": 0.0}
 #: Labelled documents the classifier learns from, and words of its lexicon, at most.
 MAX_TRAIN, LEXICON = 12_000, 64
+#: A word of the lexicon: log-odds of standing in a toxic document rather than another, in standard errors and as such, at least.
+SURE, APART = 2.5, 3.0
 #: Upper ends of bins of each statistic; the last bin is open.
-CUTS = {"symbols": (0.0, 0.01, 0.03, 0.1), "upper": (0.01, 0.04, 0.1, 0.3), "distinct": (0.1, 0.25, 0.4, 0.5, 0.6), "hits": (0.0, 1.0, 2.0)}
+CUTS = {"symbols": (0.0, 0.01, 0.03, 0.1), "upper": (0.01, 0.04, 0.1, 0.3), "bangs": (0.0, 0.01, 0.05), "distinct": (0.1, 0.25, 0.4, 0.5, 0.6), "hits": (0.0, 1.0, 2.0)}
 
 
 @dataclass
@@ -54,7 +56,7 @@ def statistics(text: Column, lexicon: list[str]) -> Column:
     found = F.size(F.array_intersect(terms(text), F.array(*[F.lit(x) for x in lexicon]))) if lexicon else F.lit(0)
 
     def of(w: Column) -> Column:
-        values = {"symbols": count_of(text, "[#*$%&|<>]") / chars, "upper": count_of(text, "[A-Z]") / chars, "distinct": F.size(F.array_distinct(w)) / F.greatest(F.size(w), F.lit(1)).cast("double"), "hits": found.cast("double")}
+        values = {"symbols": count_of(text, "[#*$%&|<>]") / chars, "upper": count_of(text, "[A-Z]") / chars, "bangs": count_of(text, "!") / chars, "distinct": F.size(F.array_distinct(w)) / F.greatest(F.size(w), F.lit(1)).cast("double"), "hits": found.cast("double")}
         return F.struct(F.size(w).cast("long").alias("n_tokens"), *[_binned(v, CUTS[n]).alias(n) for n, v in values.items()])
 
     return let(words(text), of)
@@ -85,9 +87,12 @@ def learn(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, lex
     sizes = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     toxic, rest = sizes.get("toxic", 0), max(1, sum(sizes.values()) - sizes.get("toxic", 0))
     share = each.groupBy("word").agg(F.count_if(F.col("domain") == "toxic").alias("t"), F.count_if(F.col("domain") != "toxic").alias("o"))
-    ratio = (F.col("t") / F.lit(float(max(1, toxic)))) / ((F.col("o") + 1) / F.lit(float(rest)))
-    picked = share.where((F.col("t") >= max(3, toxic // 50)) & (ratio >= 50)).orderBy(ratio.desc(), "word").limit(lexicon)
-    lexical = sorted(r["word"] for r in picked.collect() if r["word"])
+    # log-odds with half a document more in each cell, in standard errors: comparable between tables of any size
+    cells = [F.col("t") + 0.5, toxic - F.col("t") + 0.5, F.col("o") + 0.5, rest - F.col("o") + 0.5]
+    odds = F.log(cells[0] / cells[1]) - F.log(cells[2] / cells[3])
+    z = odds / F.sqrt(sum((1 / c for c in cells), F.lit(0.0)))
+    picked = share.where((F.col("word") != "") & (F.col("t") >= 2) & (z >= SURE) & (odds >= APART)).orderBy(z.desc(), "word").limit(lexicon)
+    lexical = sorted(r["word"] for r in picked.collect())
     binned = sample.select("domain", statistics(F.col("text"), lexical).alias("s"))
     got = binned.groupBy("domain", *[F.col(f"s.{n}").alias(n) for n in CUTS]).agg(F.count("*").alias("n")).collect()
     discard(sample)
