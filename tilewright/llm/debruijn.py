@@ -12,7 +12,7 @@ of each edge. Edges of a stretch whose sources lie side by side in one document
 compacted again; the source's coordinates so verify that the whole span stands there.
 
 Defined cases: null and empty texts have no words; rows of equal id don't remove from each
-other; a null id is never larger than another and removes nothing; repeats within one
+other; a null id removes nothing and loses nothing; repeats within one
 document stay; other columns aren't carried along.
 """
 
@@ -90,7 +90,8 @@ def repeated_spans(texts: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """(k, spans): for rows of ``keyed`` that have any, the ranges [lo, hi) of words to remove; ranges may overlap."""
     found = _stretches(texts, window)
     shared = found.groupBy("anchor").agg(F.min("k.id").alias("a"), F.max("k.id").alias("b")).where(F.col("a") < F.col("b")).select("anchor")
-    places = stored(found.join(shared, "anchor"), "places")
+    # a null id sorts first, but is no source: its rows would stand in the place of real ones
+    places = stored(found.where(F.col("k.id").isNotNull()).join(shared, "anchor"), "places")
     own = places.groupBy("anchor", "shash").agg(F.min(F.struct("k", "at", "n")).alias("f"))
     per = own.groupBy("anchor").agg(F.count("*").alias("m"))
     paths = stored(own.join(per, "anchor").select("anchor", "shash", "m", "f.k", "f.at", "f.n"), "paths")
