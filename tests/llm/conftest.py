@@ -15,12 +15,15 @@ TEXTS = [
     (None, "a text without an id"),
 ]
 
+#: Names that the operators themselves might give to columns.
+NAMES = ("tw_spans", "tw_q", "tw_mix", "tw_h1", "tw_h2", "tw_s", "tw_score", "tw_copy", "tw_1", "tw_2", "tw_id", "tw_n", "tw_own", "tw_k")
+
 
 @pytest.fixture(scope="session")
 def odd(spark):
     """Nulls, empty and very long texts, repeated rows, and columns whose names clash with the operators' own."""
-    rows = [(i, t, "n", "k", 1, None) for i, t in TEXTS]
-    return spark.createDataFrame(rows, "doc_id long, text string, words string, anchor string, id int, spans string")
+    rows = [(i, t, "n", "k", 1, None, *["mine"] * len(NAMES)) for i, t in TEXTS]
+    return spark.createDataFrame(rows, "doc_id long, text string, words string, anchor string, id int, spans string, " + ", ".join(f"{n} string" for n in NAMES))
 
 
 @pytest.fixture(scope="session")

@@ -43,9 +43,8 @@ def repeats(rows, w):
 
 
 def test_suffix_dedup_odd_rows(odd, none):
-    some = odd.where("coalesce(doc_id, 0) <> 8")
-    same(suffix_dedup.digests(suffix_dedup.with_spans(some)).collect(), list(repeats(texts(some), 200)))
-    assert suffix_dedup.digests(suffix_dedup.with_spans(none)).count() == 0
+    same(suffix_dedup.digests(suffix_dedup.with_spans(odd, into="tw_mine"), spans="tw_mine").collect(), list(repeats(texts(odd), 200)))
+    assert suffix_dedup.digests(suffix_dedup.with_spans(none, into="tw_mine"), spans="tw_mine").count() == 0
 
 
 def test_suffix_dedup_crowded_anchors(spark):
@@ -56,9 +55,18 @@ def test_suffix_dedup_crowded_anchors(spark):
     same(suffix_dedup.digests(suffix_dedup.with_spans(df, window=24, hot=4)).collect(), list(repeats(texts(df), 24)))
 
 
+def test_suffix_dedup_many_near_copies(spark):
+    rng = random.Random(4)
+    base = [f"w{rng.randint(0, 999)}" for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(base) if rng.random() < 0.03 else w for w in base)) for i in range(600)]
+    df = spark.createDataFrame([*rows, *((1000 + i, t) for i, t in rows[:50])], "doc_id long, text string").repartition(4)
+    same(suffix_dedup.digests(suffix_dedup.with_spans(df, window=60, hot=16)).collect(), list(repeats(texts(df), 60)))
+
+
 def test_cleaned_keeps_columns(odd):
     out = suffix_dedup.cleaned(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
+    assert [r.tw_spans for r in out.select("tw_spans").distinct().collect()] == ["mine"]
 
 
 def test_expansion_equals_counting():

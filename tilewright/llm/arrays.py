@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that a function works on at once.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 def slices(sizes: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]:

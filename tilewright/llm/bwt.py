@@ -1,135 +1,111 @@
 """Repeated windows of a block of strings, by interval expansion on its Burrows-Wheeler transform.
 
-Suffixes are sorted to the window's depth (7 bytes, then doubling), which gives the
+Suffixes are sorted to the window's depth: by a first key of as many symbols as 63 bits
+hold, then by three ranks at a time, among those still tied only. That gives the
 transform. Then the intervals of suffixes with a common prefix are derived breadth-first:
 from the interval of a string w of length l, a backward step by each character c that
 precedes its suffixes gives the interval of cw. The first interval to end at a place marks
 the common prefix there as l. Values come in increasing order, so the work stops at the
 minimum length; places without a mark then have a common prefix of at least that length.
-Intervals whose right end is marked already aren't followed, so each place is marked once.
-Separators are only stepped to from the root: strings that run on past one are of no use,
-and all that matter end with a separator at most.
+The first key is a table of all strings of its length: the expansion begins with their
+intervals, and places between them are marked by it. Intervals whose right end is marked
+already aren't followed, so each place is marked once. Separators aren't stepped to:
+windows that matter lie inside a string.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-_WIDE = 64
 
-
-def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of text (symbols 0..256, 0 smallest), sorted by their first ``depth`` symbols at least; ties are in any order."""
-    n = len(text)
-    # seven symbols of 9 bits to begin with
-    have = 7
-    rank = np.zeros(n, np.int64)
-    for k in range(have):
-        rank <<= 9
-        rank[: max(0, n - k)] |= text[k:]
-    order = np.argsort(rank)
-    rank = _dense(rank[order], order)
-    while have < depth:
-        step = min(have, depth - have)
-        shifted = np.zeros(n, np.int64)
-        shifted[: n - step] = rank[step:] + 1
-        # suffixes that stand alone already keep their place
-        count = np.bincount(rank, minlength=n)
-        tied = count[rank[order]] > 1
-        places = np.flatnonzero(tied)
-        if not len(places):
-            break
-        some = order[places]
-        key = rank[some] * (n + 1) + shifted[some]
-        # a tie's first place is its rank, so places of ties are in the order of ranks
-        some = some[np.argsort(key)]
-        order[places] = some
-        rank = _refined(rank, shifted, order)
-        have += step
-    return order
+def dense(text: np.ndarray) -> tuple[np.ndarray, int]:
+    """Symbols as 0, 1, ... in the same order, and the bits of one."""
+    present = np.zeros(int(text.max()) + 1, bool)
+    present[text] = True
+    code = (np.cumsum(present) - 1).astype(np.int64)
+    return code[text], max(1, int(code[-1]).bit_length())
 
 
-def _dense(sorted_keys: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """For each suffix, the first place of those with equal keys."""
-    n = len(order)
-    head = np.append(True, sorted_keys[1:] != sorted_keys[:-1]) if n else np.zeros(0, bool)
-    first = np.flatnonzero(head)
-    rank = np.empty(n, np.int64)
-    rank[order] = first[np.cumsum(head) - 1]
-    return rank
+def first_keys(sym: np.ndarray, bits: int, depth: int) -> tuple[np.ndarray, int]:
+    """For each suffix its first symbols as one number, and how many they are."""
+    have = min(depth, 63 // bits)
+    key = np.zeros(len(sym), np.int64)
+    for k in range(have):
+        key <<= bits
+        key[: max(0, len(sym) - k)] |= sym[k:]
+    return key, have
 
 
-def _refined(rank: np.ndarray, shifted: np.ndarray, order: np.ndarray) -> np.ndarray:
-    a, b = rank[order], shifted[order]
-    n = len(order)
-    head = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])) if n else np.zeros(0, bool)
-    first = np.flatnonzero(head)
-    out = np.empty(n, np.int64)
-    out[order] = first[np.cumsum(head) - 1]
-    return out
+def suffix_order(key: np.ndarray, have: int, depth: int) -> np.ndarray:
+    """Suffixes sorted by their first ``depth`` symbols at least, from keys of the first ``have``; ties are in any order."""
+    n = len(key)
+    order = np.argsort(key)
+    places, some, key = np.arange(n), order, key[order]
+    rank = np.zeros(n + 2 * depth + 1, np.int64)  # of a suffix past the end: 0
+    bits = n.bit_length()
+    three = 3 * bits <= 63  # else two ranks at a time
+    while True:
+        head = np.append(True, key[1:] != key[:-1]) if n else np.zeros(0, bool)
+        first = np.flatnonzero(head)
+        size = np.diff(np.append(first, len(key)))
+        rank[some] = np.repeat(places[first], size) + 1
+        tied = np.repeat(size > 1, size)
+        places, some = places[tied], some[tied]
+        if have >= depth or not len(places):
+            return order
+        key = rank[some] << bits | rank[some + have]
+        if three:
+            key = key << bits | rank[some + 2 * have]
+        turn = np.argsort(key)
+        some, key = some[turn], key[turn]
+        order[places] = some  # a tie's places follow its rank, so all ties are sorted at once
+        have *= 3 if three else 2
 
 
-def deep_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
-    """True at place i where suffixes at places i-1 and i share at least ``depth`` symbols. text has symbols 0..256."""
-    n = len(text)
+def deep_prefixes(sym: np.ndarray, key: np.ndarray, bits: int, have: int, order: np.ndarray, depth: int) -> np.ndarray:
+    """True at place i where suffixes at places i-1 and i share at least ``depth`` symbols. Symbol 0 is the separator."""
+    n = len(sym)
     if not n:
         return np.zeros(0, bool)
-    bwt = text[order - 1]  # the symbol before the first one is the last
-    symbols, counts = np.unique(text, return_counts=True)
-    code = np.zeros(int(symbols[-1]) + 1, np.int64)
-    code[symbols] = np.arange(len(symbols))
-    bwt = code[bwt]
-    text_at = bwt != 0 if symbols[0] == 0 else np.ones(n, bool)  # what a step to the left keeps within a string
-    base = np.cumsum(counts) - counts
-    # place of the suffix one symbol longer to the left
-    back = np.argsort(bwt, kind="stable")
-    lf = np.empty(n, np.int64)
-    lf[back] = np.arange(n)
-    every = np.searchsorted(bwt[back], np.arange(len(symbols) + 1))
-    marked = np.zeros(n + 1, bool)
-    marked[0] = True
-    lo, hi = np.zeros(1, np.int64), np.full(1, n, np.int64)
-    for level in range(depth):
-        # the intervals of cw for all intervals of w
-        wide = hi - lo > _WIDE
-        parts = []
-        if wide.any():
-            wl, wh = lo[wide], hi[wide]
-            for s in range(int(level > 0 and symbols[0] == 0), len(symbols)):
-                mine = back[every[s] : every[s + 1]]
-                a, b = np.searchsorted(mine, wl), np.searchsorted(mine, wh)
-                some = b > a
-                parts.append((base[s] + a[some], base[s] + b[some]))
-        if not wide.all():
-            nl, nh = lo[~wide], hi[~wide]
-            single = nh - nl == 1
-            one = nl[single]
-            one = lf[one[text_at[one]]] if level else lf[one]
-            parts.append((one, one + 1))
-            nl, nh = nl[~single], nh[~single]
-            if len(nl):
-                size = nh - nl
-                total = np.cumsum(size)
-                at = np.arange(int(total[-1])) + np.repeat(nl - (total - size), size)
-                of = np.repeat(np.arange(len(nl)), size)
-                if level:
-                    at, of = at[text_at[at]], of[text_at[at]]
-                to = np.sort(lf[at] + of * (n + 1))
-                row, place = to // (n + 1), to % (n + 1)
-                # within an interval, equal symbols lead to places side by side, other symbols to another symbol's range
-                sym = np.searchsorted(base, place, "right")
-                cut = np.append(np.ones(min(1, len(to)), bool), (row[1:] != row[:-1]) | (sym[1:] != sym[:-1]))
-                start = np.flatnonzero(cut)
-                stop = np.append(start[1:], len(to))[: len(start)]
-                parts.append((place[start], place[stop - 1] + 1))
-        lo = np.concatenate([p[0] for p in parts])
-        hi = np.concatenate([p[1] for p in parts])
-        new = ~marked[hi]
+    before = sym[order - 1]  # the transform; before the first symbol stands the last
+    inside = before != 0
+    back = np.argsort(before.astype(np.uint16), kind="stable")
+    lf = np.empty(n, np.int32)  # place of the suffix that is one symbol longer to the left
+    lf[back] = np.arange(n, dtype=np.int32)
+    symbol = np.sort(sym).astype(np.int32)  # the first symbol of each place's suffix
+    ranked = key[order]
+    marked = np.append(np.append(True, ranked[1:] != ranked[:-1]), True)
+    bounds = np.flatnonzero(marked)
+    lo, hi = bounds[:-1].astype(np.int32), bounds[1:].astype(np.int32)
+    # those whose right neighbour shares all symbols but the last end at a common prefix of just that length
+    inner = hi < n
+    exact = np.zeros(len(hi), bool)
+    exact[inner] = ranked[hi[inner] - 1] >> bits == ranked[hi[inner]] >> bits
+    lo, hi = lo[exact], hi[exact]
+    for _ in range(have, depth):
+        if not len(lo):
+            break
+        size = hi - lo
+        single = size == 1
+        one = lo[single]
+        one = lf[one[inside[one]]]
+        lo, size = lo[~single], size[~single]
+        # the intervals of cw for all intervals of w: equal symbols of an interval lead to places side by side
+        ends = np.cumsum(size, dtype=np.int64)
+        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(lo - (ends - size), size)
+        of = np.repeat(np.arange(len(lo)), size)
+        keep = inside[at]
+        to = of[keep] << 32 | lf[at[keep]]
+        to.sort()
+        place = (to & 0xFFFFFFFF).astype(np.int32)
+        tag = (to >> 32) << 16 | symbol[place]
+        cut = np.flatnonzero(np.append(np.ones(min(1, len(to)), bool), tag[1:] != tag[:-1]))
+        last = place[np.append(cut[1:], len(to))[: len(cut)] - 1]
+        lo, hi = np.concatenate([one, place[cut]]), np.concatenate([one, last]) + 1
         # of two intervals that end at one place, one is enough: both are of strings of one length, so they are equal
+        new = ~marked[hi]
         lo, hi = lo[new], hi[new]
         marked[hi] = True
-        if not len(lo):
-            break
     return ~marked[:n]
 
 
@@ -143,8 +119,11 @@ def repeated(strings: list[bytes], weights: np.ndarray, depth: int) -> list[np.n
     text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int16) + 1
     ends = np.cumsum(size + 1) - 1
     text[ends] = 0
-    order = suffix_order(text, depth)
-    joins = deep_prefixes(text, order, depth)
+    sym, bits = dense(text)
+    key, have = first_keys(sym, bits, depth)
+    order = suffix_order(key, have, depth)
+    joins = deep_prefixes(sym, key, bits, have, order, depth)
+    del key
     owner = np.repeat(np.arange(len(strings)), size + 1)
     left = np.repeat(ends, size + 1) - np.arange(len(text))  # symbols before the string's end
     group = np.cumsum(~joins) - 1

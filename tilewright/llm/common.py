@@ -2,31 +2,48 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-#: Rows of an Arrow batch, at most: texts may be long, and a batch stands in memory whole.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch, at most: texts may be long, and a batch stands in memory whole.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's bounds of Arrow batches to those of BATCH. A smaller bound stays."""
+    for name, most in BATCH.items():
+        said = spark.conf.get(name, None)
+        if not (said and said.isdigit() and 0 < int(said) <= most):
+            spark.conf.set(name, str(most))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the folder. Keeps the session's Arrow batches small enough for tables of texts."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """A table of the folder."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df lacks: the given one, with as many underscores behind it as that takes."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which all executors share.
 
-    Where the session names none (tests on one machine), a folder in the warehouse is set.
+    A session on one machine that names none gets a folder in its warehouse; on a cluster that is an error.
     """
-    jsc = spark.sparkContext
-    said = jsc.getConf().get("spark.checkpoint.dir") or (spark.conf.get("spark.checkpoint.dir", None))
+    said = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not said:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         said = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return said.rstrip("/")
 
@@ -34,18 +51,19 @@ def shared_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame, label: str = "t") -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it again: a cut in the lineage that survives lost executors."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Removes a table of stored() that no later step reads."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def discard(*tables: DataFrame) -> None:
+    """Removes tables of stored() that no later step reads."""
+    for df in tables:
+        jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(f)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def remainder(doc_id: Column, of: int = 5) -> Column:

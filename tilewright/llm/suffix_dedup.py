@@ -4,16 +4,20 @@ Texts are cut into segments of windows with a common anchor (segments.py). Segme
 anchor stands once, and once in them, can't repeat and drop out, after a shuffle of hashes alone. Equal
 segments are collapsed to one string with a weight; strings are then dealt to blocks by
 their anchors, and in each block interval expansion on the Burrows-Wheeler transform
-(bwt.py) decides, exactly, which windows repeat. Where many different strings share an
-anchor (a common line within different surroundings), they are cut anew by longer runs,
-up to whole windows, so that no block is hot. Repeats go back to the segments' places.
+(bwt.py) decides, exactly, which windows repeat. A string of weight 2 or more that is the
+only one of its anchor repeats whole, and the expansion, which could add nothing, isn't
+asked. Where more than ``hot`` different strings share an anchor (a common line within
+different surroundings), the different strings, once each, are cut anew by longer runs, up
+to whole windows, so that no block is hot. What repeats in the pieces goes back to their
+strings, and from the strings, by one join at the end, to the segments' places.
 
 Every step is linear in the input or in what repeats; blocks are of bounded size.
 
 Defined cases: null and empty texts, and texts shorter than the window, lose nothing;
 rows with equal id and text are places of their own, so they lose everything that the
 window covers; bytes cut from the middle of a character may leave parts of it, which
-``cleaned`` drops from the text; other columns pass through.
+``cleaned`` drops from the text; other columns pass through, whatever their names. Texts
+are handled whole: one of n bytes takes some 60 n bytes of a worker's memory while it is cut.
 """
 
 from __future__ import annotations
@@ -23,27 +27,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.llm import bwt, segments
-from tilewright.llm.arrays import slices, text_bytes
-from tilewright.llm.common import discard, stored
+from tilewright.llm.arrays import CHUNK, slices, spread, text_bytes
+from tilewright.llm.common import discard, fresh, stored
 from tilewright.llm.wordhash import byte_runs, hash_spans
 
 WINDOW = 200
 #: Lengths of the runs that anchors are made of, in parts of the window: each next one where the last left too many strings together.
-LADDER = (0.12, 0.48, 0.8, 0.96, 1.0)
+LADDER = (0.36, 0.6, 0.85, 1.0)
 #: Different strings that may share an anchor in a block, and bytes of a block.
-HOT, BLOCK = 512, 1 << 20
+HOT, BLOCK = 4096, 1 << 20
 
 _SEGMENT = "anchor bigint, shash bigint, at int, n int, w int"
 
 
+def row_key(key: str, text: str) -> Column:
+    """What tells a row: its id and a hash of its text, as ids may be repeated."""
+    return F.struct(F.col(f"`{key}`").cast("long").alias("id"), F.hash(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("h"))
+
+
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(k, text): k tells a row by its id and a hash of its text, as ids may be repeated."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.struct(F.col(key).cast("long").alias("id"), F.hash(body).alias("h")).alias("k"), body.alias("text"))
+    """(k, text) of every row; a null text is empty."""
+    return docs.select(row_key(key, text).alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
 
 def _cut(data: np.ndarray, off: np.ndarray, window: int, run: int) -> tuple[np.ndarray, ...]:
@@ -75,31 +84,36 @@ def _fetched(texts: DataFrame, first: DataFrame, window: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = text_bytes(b.column(0))
-            raw, w = data.tobytes(), b.column(1)
+            w = b.column(1)
             place, n, anchor, shash, m, copies = (np.asarray(x) for x in w.flatten().flatten())
             start = np.repeat(off[:-1], np.diff(np.asarray(w.offsets))) + place
-            ends = (start + n + window - 1).tolist()
+            ends = start + n + (window - 1)
             for i, j in slices(n + window):
-                s = pa.array([raw[x:y] for x, y in zip(start[i:j].tolist(), ends[i:j], strict=True)], pa.binary())
+                s = _pieces(data, start[i:j], ends[i:j])
                 yield pa.RecordBatch.from_arrays([pa.array(anchor[i:j]), pa.array(shash[i:j]), pa.array(m[i:j]), pa.array(copies[i:j]), s], ["anchor", "shash", "m", "copies", "s"])
 
     return both.mapInArrow(rows, "anchor bigint, shash bigint, m bigint, copies bigint, s binary")
 
 
+def _pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """data[start[i]:end[i]] as binary values."""
+    off = np.append(0, np.cumsum(end - start)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(data[spread(start, end - start)]))])
+
+
 def _recut(strings: DataFrame, window: int, run: int) -> DataFrame:
-    """Strings cut by longer runs: (anchor, shash) of the string, and (anchor2, shash2, off, n, w, s) of each piece."""
+    """Strings cut by longer runs: (anchor, shash, copies) of the string, and (anchor2, shash2, off, n, w, s) of each piece."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data, off = text_bytes(b.column(2))
-            raw = data.tobytes()
-            text, at, n, anchor, whole, w = _cut(data, off, window, run)
-            start = off[text] + at
-            s = pa.array([raw[x:y] for x, y in zip(start.tolist(), (start + n + window - 1).tolist(), strict=True)], pa.binary())
-            back = pa.array(text)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(back), b.column(1).take(back), pa.array(anchor), pa.array(whole), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(w), s], ["anchor", "shash", "anchor2", "shash2", "off", "n", "w", "s"])
+            data, off = text_bytes(b.column(3))
+            for i, j in slices(np.diff(off), CHUNK // 4):
+                part, of = data[off[i] : off[j]], off[i : j + 1] - off[i]
+                text, at, n, anchor, whole, w = _cut(part, of, window, run)
+                start, back = of[text] + at, pa.array(text + i)
+                yield pa.RecordBatch.from_arrays([*[b.column(c).take(back) for c in range(3)], pa.array(anchor), pa.array(whole), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(w), _pieces(part, start, start + n + (window - 1))], ["anchor", "shash", "copies", "anchor2", "shash2", "off", "n", "w", "s"])
 
-    return strings.select("anchor", "shash", "s").mapInArrow(rows, "anchor bigint, shash bigint, anchor2 bigint, shash2 bigint, off int, n int, w int, s binary")
+    return strings.select("anchor", "shash", "copies", "s").mapInArrow(rows, "anchor bigint, shash bigint, copies bigint, anchor2 bigint, shash2 bigint, off int, n int, w int, s binary")
 
 
 def _repeats(strings: DataFrame, window: int) -> DataFrame:
@@ -108,60 +122,82 @@ def _repeats(strings: DataFrame, window: int) -> DataFrame:
     blocks = max(1, -(-total // BLOCK))
 
     def run(group: pa.Table) -> pa.Table:
-        s = group.column("s").to_pylist()
-        found = bwt.repeated(s, np.asarray(group.column("copies").combine_chunks()), window)
+        group = group.sort_by("anchor")
+        s, copies = group.column("s").combine_chunks(), np.asarray(group.column("copies").combine_chunks())
+        # strings of one anchor stay together; a block that chance has made large is worked off in parts
+        anchor = np.asarray(group.column("anchor").combine_chunks())
+        head = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+        size = np.add.reduceat(np.asarray(pc.binary_length(s)).astype(np.int64), head)
+        head = np.append(head, len(anchor))
         counts, lo, hi = [0], [], []
-        for f in found:
-            if len(f):
+        for i, j in slices(size, BLOCK):
+            a, b = int(head[i]), int(head[j])
+            for f in bwt.repeated(s.slice(a, b - a).to_pylist(), copies[a:b], window):
                 gap = np.flatnonzero(np.diff(f) != 1)
-                lo.append(f[np.append(0, gap + 1)])
-                hi.append(f[np.append(gap, len(f) - 1)] + 1)
-                counts.append(counts[-1] + len(gap) + 1)
-            else:
-                counts.append(counts[-1])
-        flat = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int32()) for x in (lo, hi)]
+                lo.append(f[np.append(0, gap + 1)] if len(f) else f)
+                hi.append(f[np.append(gap, len(f) - 1)] + 1 if len(f) else f)
+                counts.append(counts[-1] + len(lo[-1]))
+        flat = [pa.array(np.concatenate(x), pa.int32()) for x in (lo, hi)]
         spans = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.StructArray.from_arrays(flat, ["lo", "hi"]))
         return pa.table({"anchor": group.column("anchor"), "shash": group.column("shash"), "spans": spans})
 
     dealt = strings.select("anchor", "shash", "copies", "s", F.pmod(F.xxhash64("anchor", F.lit(3)), F.lit(blocks)).alias("block"))
-    return dealt.groupBy("block").applyInArrow(run, "anchor bigint, shash bigint, spans array<struct<lo:int,hi:int>>").where(F.size("spans") > 0)
+    return dealt.groupBy("block").applyInArrow(run, _HIT).where(F.size("spans") > 0)
+
+
+_HIT = "anchor bigint, shash bigint, spans array<struct<lo:int,hi:int>>"
+
+
+def _whole(own: DataFrame) -> DataFrame:
+    """Hits of strings (anchor, shash, n) all of whose windows repeat."""
+    return own.select("anchor", "shash", F.array(F.struct(F.lit(0).alias("lo"), F.col("n").alias("hi"))).alias("spans"))
+
+
+def _moved(start: str, more: int = 0) -> Column:
+    return F.transform("spans", lambda s: F.struct((F.col(start) + s["lo"]).alias("lo"), (F.col(start) + s["hi"] + more).alias("hi")))
+
+
+def _hits(strings: DataFrame, runs: list[int], window: int, hot: int) -> DataFrame:
+    """(anchor, shash, spans) of strings (anchor, shash, m, copies, s), m of which share an anchor."""
+    crowd = strings.where(F.col("m") > hot) if runs else strings.limit(0)
+    ready = stored(_repeats(strings.where(F.col("m") <= hot) if runs else strings, window), "hits")
+    if not runs or not crowd.limit(1).count():
+        return ready
+    pieces = stored(_recut(crowd, window, runs[0]), "pieces")
+    own = pieces.groupBy("anchor2", "shash2").agg(F.sum("copies").alias("copies"), F.max("w").alias("w"), F.max("n").alias("n"))
+    per = own.groupBy("anchor2").agg(F.count("*").alias("m"), F.sum(F.col("copies") * F.col("w")).alias("c")).where(F.col("c") > 1)
+    own = stored(own.join(per, "anchor2").select(F.col("anchor2").alias("anchor"), F.col("shash2").alias("shash"), "m", "copies", "n"), "strings")
+    sure = (F.col("m") == 1) & (F.col("copies") > 1)
+    body = pieces.select(F.col("anchor2").alias("anchor"), F.col("shash2").alias("shash"), "s").join(own.where(~sure), ["anchor", "shash"])
+    finer = stored(body.dropDuplicates(["anchor", "shash"]).select("anchor", "shash", "m", "copies", "s"), "strings")
+    found = _hits(finer, runs[1:], window, hot).unionByName(_whole(own.where(sure)))
+    back = pieces.select("anchor", "shash", "anchor2", "shash2", "off").join(found.select(F.col("anchor").alias("anchor2"), F.col("shash").alias("shash2"), "spans"), ["anchor2", "shash2"])
+    back = back.select("anchor", "shash", _moved("off").alias("spans")).groupBy("anchor", "shash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    out = stored(ready.unionByName(back), "hits")
+    discard(pieces, own, finer, ready)
+    return out
 
 
 def repeated_spans(texts: DataFrame, *, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """(k, spans): for each row of ``keyed`` that has any, the byte ranges [lo, hi) that repeated windows cover; ranges may overlap."""
     runs = sorted({max(1, min(window, round(window * x))) for x in LADDER})
-    found = _segments(texts, window, runs[0])
+    found = stored(_segments(texts, window, runs[0]), "segments")
     twice = found.groupBy("anchor").agg(F.sum("w").alias("c")).where(F.col("c") > 1).select("anchor")
-    places = stored(found.join(twice, "anchor"), "places")
-    own = places.groupBy("anchor", "shash").agg(F.count("*").alias("copies"), F.min(F.struct("k", "at", "n")).alias("f"))
+    places = stored(found.join(twice, "anchor").select("k", "anchor", "shash", "at", "n"), "places")
+    discard(found)
+    # stored before it is joined, so that an anchor of many strings can be split among tasks
+    own = stored(places.groupBy("anchor", "shash").agg(F.count("*").alias("copies"), F.min(F.struct("k", "at", "n")).alias("f")), "own")
     per = own.groupBy("anchor").agg(F.count("*").alias("m"))
-    first = own.join(per, "anchor").select("anchor", "shash", "m", "copies", "f.k", "f.at", "f.n")
-    strings = stored(_fetched(texts, first, window), "strings")
-    ready, spots = [strings.where(F.col("m") <= hot)], [places]
-    for run in runs[1:]:
-        crowd = strings.where(F.col("m") > hot)
-        if not crowd.limit(1).count():
-            break
-        pieces = stored(_recut(crowd, window, run), "pieces")
-        split = pieces.select("anchor", "shash", "anchor2", "shash2", "off", F.col("n").alias("n2"), F.col("w").alias("w2"))
-        finer = places.join(split, ["anchor", "shash"]).select("k", F.col("anchor2").alias("anchor"), F.col("shash2").alias("shash"), (F.col("at") + F.col("off")).alias("at"), F.col("n2").alias("n"), F.col("w2").alias("w"))
-        twice = finer.groupBy("anchor").agg(F.sum("w").alias("c")).where(F.col("c") > 1).select("anchor")
-        places = stored(finer.join(twice, "anchor"), "places")
-        own = places.groupBy("anchor", "shash").agg(F.count("*").alias("copies"))
-        per = own.groupBy("anchor").agg(F.count("*").alias("m"))
-        body = pieces.select(F.col("anchor2").alias("anchor"), F.col("shash2").alias("shash"), "s").dropDuplicates(["anchor", "shash"])
-        strings = stored(body.join(own, ["anchor", "shash"]).join(per, "anchor").select("anchor", "shash", "m", "copies", "s"), "strings")
-        ready.append(strings.where(F.col("m") <= hot) if run < window else strings)
-        spots.append(places)
-    whole = ready[0]
-    for r in ready[1:]:
-        whole = whole.unionByName(r)
-    hits = stored(_repeats(whole, window), "hits")
-    at = spots[0].select("k", "anchor", "shash", "at")
-    for p in spots[1:]:
-        at = at.unionByName(p.select("k", "anchor", "shash", "at"))
-    back = at.join(hits, ["anchor", "shash"]).select("k", F.transform("spans", lambda s: F.struct((F.col("at") + s["lo"]).alias("lo"), (F.col("at") + s["hi"] + (window - 1)).alias("hi"))).alias("spans"))
-    return back.groupBy("k").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    first = stored(own.join(per, "anchor").select("anchor", "shash", "m", "copies", "f.k", "f.at", "f.n"), "first")
+    discard(own)
+    sure = (F.col("m") == 1) & (F.col("copies") > 1)
+    strings = stored(_fetched(texts, first.where(~sure), window), "strings")
+    hits = _hits(strings, runs[1:], window, hot)
+    discard(strings)
+    back = places.join(hits.unionByName(_whole(first.where(sure))), ["anchor", "shash"])
+    out = stored(back.select("k", _moved("at", window - 1).alias("spans")).groupBy("k").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
+    discard(places, first, hits)
+    return out
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -181,9 +217,9 @@ def kept_bytes(raw: bytes, spans: np.ndarray) -> bytes:
 
 def with_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = WINDOW, hot: int = HOT, into: str = "tw_spans") -> DataFrame:
     """docs with an array of byte ranges, null where nothing repeats."""
-    found = repeated_spans(keyed(docs, key, text), window=window, hot=hot).select(F.col("k").alias("tw_k"), F.col("spans").alias(into))
-    k = F.struct(F.col(key).cast("long").alias("id"), F.hash(F.coalesce(F.col(text), F.lit(""))).alias("h"))
-    return docs.withColumn("tw_own", k).join(found, F.col("tw_own") == F.col("tw_k"), "left").drop("tw_own", "tw_k")
+    mine, theirs = fresh(docs, "tw_own"), fresh(docs, "tw_k")
+    found = repeated_spans(keyed(docs, key, text), window=window, hot=hot).select(F.col("k").alias(theirs), F.col("spans").alias(into))
+    return docs.withColumn(mine, row_key(key, text)).join(found, F.col(mine) == F.col(theirs), "left").drop(mine, theirs)
 
 
 def digests(spanned: DataFrame, *, key: str = "doc_id", text: str = "text", spans: str = "tw_spans") -> DataFrame:
@@ -213,10 +249,10 @@ def _rows(b: pa.RecordBatch, text: int, spans: int) -> Iterator[tuple[bytes, np.
         yield data[off[i] : off[i + 1]].tobytes(), merged(both[ends[i] : ends[i + 1]])
 
 
-def cleaned(docs: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+def cleaned(docs: DataFrame, *, key: str = "doc_id", text: str = "text", window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """docs with the repeated bytes cut from the text; parts of cut characters go too. Null texts stay null."""
-    spanned = with_spans(docs, key=key, text=text, window=window)
-    names = docs.columns
+    spans = fresh(docs, "tw_spans")
+    spanned = with_spans(docs, key=key, text=text, window=window, hot=hot, into=spans)
 
     @F.pandas_udf("string")
     def cut(texts, spans):  # noqa: ANN001, ANN202
@@ -224,12 +260,11 @@ def cleaned(docs: DataFrame, *, key: str = "doc_id", text: str = "text", window:
 
         out = []
         for t, s in zip(texts, spans, strict=True):
-            if t is None or s is None:
-                out.append(t)
-                continue
-            ranges = merged(np.array([[x["lo"], x["hi"]] for x in s], np.int64).reshape(-1, 2))
-            out.append(kept_bytes(t.encode(), ranges).decode("utf-8", "ignore"))
+            ranges = None if t is None else merged(np.array([[x["lo"], x["hi"]] for x in s], np.int64).reshape(-1, 2))
+            out.append(None if t is None else kept_bytes(t.encode(), ranges).decode("utf-8", "ignore"))
         return pd.Series(out, dtype=object)
 
-    touched = F.when(F.col("tw_spans").isNull(), F.col(text)).otherwise(cut(F.col(text), F.col("tw_spans")))
-    return spanned.withColumn(text, touched).select(*[F.col(f"`{n}`") for n in names])
+    # only the texts that lose something go to Python
+    hit = F.col(spans).isNotNull()
+    body = F.col(f"`{text}`")
+    return spanned.withColumn(text, F.when(hit, cut(F.when(hit, body), F.col(spans))).otherwise(body)).select(*[F.col(f"`{n}`") for n in docs.columns])
