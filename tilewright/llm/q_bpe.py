@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import hashlib
 
 import numpy as np
@@ -24,32 +22,28 @@ def vocabulary_text(name: str = VOCABULARY) -> str:
         return f.read()
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens and the digests of ids and decoded text, from rows (doc_id, ids, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sha = lambda raw: hashlib.sha256(raw).hexdigest()
-        for b in batches:
-            ids = b.column(1)
-            off, flat = np.asarray(ids.offsets).tolist(), np.asarray(ids.values).astype("<u4")
-            raw = flat.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column(0),
-                    pa.array([b - a for a, b in zip(off, off[1:], strict=False)], pa.int64()),
-                    pa.array([sha(raw[4 * a : 4 * b]) for a, b in zip(off, off[1:], strict=False)], pa.string()),
-                    pa.array([sha(t.encode()) for t in b.column(2).to_pylist()], pa.string()),
-                ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    kind = decoded.schema["doc_id"].dataType.simpleString()
-    return decoded.select("doc_id", "ids", "text").mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+def _digests(b: pa.RecordBatch) -> pa.RecordBatch:
+    """Of rows (doc_id, ids, text): doc_id, n_tokens and the digests of ids and text."""
+    sha = lambda raw: hashlib.sha256(raw).hexdigest()
+    ids = b.column(1)
+    off, raw = np.asarray(ids.offsets).tolist(), np.asarray(ids.values).astype("<u4").tobytes()
+    ends = list(zip(off, off[1:], strict=False))
+    return pa.RecordBatch.from_arrays(
+        [
+            b.column(0),
+            pa.array([y - x for x, y in ends], pa.int64()),
+            pa.array([sha(raw[4 * x : 4 * y]) for x, y in ends], pa.string()),
+            pa.array([sha(t.encode()) for t in b.column(2).to_pylist()], pa.string()),
+        ],
+        ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    )
 
 
 def tokenized(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
+    """Every text encoded and decoded again: the digests of both, made where the ids are."""
     spoken = vocabulary_text(name)
-    return digests(bpe.decoded(bpe.encode(docs, spoken, bpe.lexicon(docs, spoken)), spoken))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return bpe.applied(docs, spoken, bpe.lexicon(docs, spoken), _digests, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def op2_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
