@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tilewright.llm import bpe, bwt, chat, dartminhash, debruijn, decision_list, jpeg, maxent, media, q_bpe, q_chat, rule_ensemble, soft_mixing, suffix_dedup, textstats, transducer
+from tilewright.llm import bpe, bwt, chat, dartminhash, debruijn, decision_list, jpeg, maxent, media, q_bpe, q_chat, q_near, rule_ensemble, soft_mixing, suffix_dedup, textstats, transducer
 from tilewright.llm.common import remainder
 
 SMALL = "/root/testdata/sf0.001"
@@ -148,6 +148,61 @@ def test_near_duplicates(spark, odd, none):
     same(dartminhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "class_id").collect(), list(enumerate(top)))
 
 
+def linked(rows, least=0.8, width=5):
+    """Class of every row by all pairs: rows joined by links, named by the smallest id."""
+    sets = {}
+    for i, t in rows:
+        w = t.split()
+        sets[i] = {tuple(w[a : a + width]) for a in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set())
+    top, where = {i: i for i, _ in rows}, {}
+    for i, s in sets.items():
+        for x in s:
+            where.setdefault(x, []).append(i)
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    texts_of, n = {}, 0
+    for i, t in rows:
+        texts_of.setdefault(t, []).append(i)
+    for same_text in texts_of.values():
+        for i in same_text[1:]:
+            top[max(root(i), root(same_text[0]))] = min(root(i), root(same_text[0]))
+    for i, s in sets.items():
+        for j, common in Counter(j for x in s for j in where[x] if j > i).items():
+            if common >= least * (len(s) + len(sets[j]) - common):
+                n += 1
+                top[max(root(i), root(j))] = min(root(i), root(j))
+    return {i: root(i) for i in top}, n
+
+
+def test_all_links_of_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    want, links = linked(texts(docs))
+    got = {r.doc_id: r.class_id for r in q_near.op3_minhash_near_dedup(spark, "/root/testdata/sf0.01").collect()}
+    assert links > 90 and got == want
+
+
+def test_a_large_group_of_near_copies(spark):
+    rng = random.Random(3)
+    base = [f"w{rng.randint(0, 500)}" for _ in range(120)]
+    rows = []
+    for i in range(900):
+        mine = [rng.choice(base) if rng.random() < 0.012 else w for w in base]
+        rows.append((i, " ".join(mine)))
+    want, _ = linked(rows)
+    got = dartminhash.classes(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "class_id").collect()
+    assert dict(map(tuple, got)) == want and 20 < len(set(want.values())) < 800
+
+
+def test_keep_first_takes_one_row_of_each_class(spark):
+    rows = [(3, "a b c d e f", 1), (1, "a b c d e f", 2), (1, "a b c d e f", 3), (None, "x", 4), (7, "x", 5), (8, None, 6), (9, "", 7)]
+    got = dartminhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, tw_0 int")).collect()
+    assert sorted(str(r.doc_id) for r in got) == ["1", "8", "None"] and {r.tw_0 for r in got} <= {2, 3, 4, 6}
+
+
 # 4
 
 

@@ -12,7 +12,7 @@ from tilewright.llm.common import table
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document, by the class's smallest id, and whether it stays."""
     found = dartminhash.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    return found.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 QUERIES = {"op3_minhash_near_dedup": op3_minhash_near_dedup}
