@@ -15,7 +15,9 @@ turn, then role, then text, repeated rows stay repeated; a record whose fingerpr
 unknown gives no turns (``unknown`` lists such records); a conversation without turns
 isn't in the output; extra fields of a layout give another fingerprint, which the caller
 may map. A conversation is one output value, so its turns meet in one row: nothing else
-is ever gathered.
+is ever gathered. Texts may be as long as a string can be: records of more than LONG
+characters, whose strings the VARIANT parser may refuse, are told by parsing them as each
+layout in turn.
 """
 
 from __future__ import annotations
@@ -71,12 +73,49 @@ def shape(record: Column) -> Column:
     return F.regexp_replace(typed, r": (STRING|BIGINT|DOUBLE|FLOAT|BOOLEAN|VOID|DECIMAL\(\d+,\d+\))(?=[,>])", "")
 
 
-def fingerprint(record: Column) -> Column:
-    return F.sha2(shape(record), 256)
+#: Records of more characters may hold strings of more than 20 million, which parsers refuse unless told otherwise.
+LONG = 10_000_000
+_ANY = {"maxStringLen": str(2**31 - 1)}
+
+
+def _fields(tree: str) -> dict[str, str]:
+    """Names and what is behind them ("" for plain values) of the outermost object of a shape."""
+    body, out, depth, start = tree[len("OBJECT<") : -1], {}, 0, 0
+    for i, c in enumerate(body + ","):
+        depth += (c == "<") - (c == ">")
+        if c == "," and depth == 0:
+            name, _, inner = body[start:i].strip().partition(": ")
+            out[name] = inner
+            start = i + 1
+    return out
+
+
+def _fits(m: Mapping, record: Column) -> Column:
+    """Whether a record parses as the layout, and as nothing else."""
+    names = lambda keys: F.array(*[F.lit(k) for k in sorted(keys)])
+    parsed = lambda kind: F.from_json(record, kind, _ANY)
+    of = _fields(m.shape)
+    ok = F.coalesce(F.array_sort(F.map_keys(parsed("map<string,string>"))) == names(of), F.lit(False))
+    for name, inner in of.items():
+        if inner.startswith("ARRAY<OBJECT<"):
+            items = parsed(f"struct<`{name}`:array<map<string,string>>>")[name]
+            ok = ok & F.coalesce(F.forall(items, lambda x: F.array_sort(F.map_keys(x)) == names(_fields(inner[len("ARRAY<") : -1]))), F.lit(False))  # noqa: B023
+        else:
+            ok = ok & parsed(f"struct<`{name}`:map<string,string>>")[name].isNull() & parsed(f"struct<`{name}`:array<string>>")[name].isNull()
+    return ok
+
+
+def fingerprint(record: Column, layouts: tuple[Mapping, ...] | None = None) -> Column:
+    """The hash of a record's shape; null where it doesn't parse. Of long records, that of the layout they fit."""
+    long = F.lit(None).cast("string")
+    for m in reversed(LAYOUTS if layouts is None else layouts):
+        long = F.when(_fits(m, record), F.lit(fingerprint_of(m.shape))).otherwise(long)
+    return F.when(F.char_length(record) > LONG, long).otherwise(F.sha2(shape(record), 256))
 
 
 def _text(record: Column, path: str) -> Column:
-    return F.get_json_object(record, path)
+    name = path.removeprefix("$.")
+    return F.from_json(record, f"struct<`{name}`:string>", _ANY)[name] if "." not in name and "[" not in name else F.get_json_object(record, path)
 
 
 def _role(role: Column) -> Column:
@@ -88,11 +127,15 @@ def _role(role: Column) -> Column:
 
 def _turns(m: Mapping, r: Column) -> Column:
     if m.row:
-        turn, role, text = (_text(r, p) for p in m.row)
+        # one parse for all fields
+        names = [p.removeprefix("$.") for p in m.row]
+        whole = F.from_json(r, "struct<" + ",".join(f"`{n}`:string" for n in names) + ">", _ANY)
+        turn, role, text = (whole[n] for n in names)
         return F.array(F.struct(turn.cast("long").alias("turn"), F.coalesce(role, F.lit("")).alias("role"), F.coalesce(text, F.lit("")).alias("text"))).cast(TURN)
     if m.turns:
         path, role, text = m.turns
-        items = F.from_json(_text(r, path), f"array<struct<`{role}`:string,`{text}`:string>>")
+        name = path.removeprefix("$.")
+        items = F.from_json(r, f"struct<`{name}`:array<struct<`{role}`:string,`{text}`:string>>>", _ANY)[name]
         return F.transform(items, lambda x, i: F.struct(i.cast("long").alias("turn"), _role(x[role]).alias("role"), F.coalesce(x[text], F.lit("")).alias("text"))).cast(TURN)
     fixed = []
     for i, (role, parts) in enumerate(m.pairs):
@@ -103,7 +146,7 @@ def _turns(m: Mapping, r: Column) -> Column:
 
 def to_turns(records: DataFrame, record: str = "record", layouts: tuple[Mapping, ...] = LAYOUTS) -> DataFrame:
     """Rows (conv_id string, turn, role, text) of JSON records in any known layout."""
-    known = records.select(F.col(record).alias("tw_r"), fingerprint(F.col(record)).alias("tw_f"))
+    known = records.select(F.col(record).alias("tw_r"), fingerprint(F.col(record), layouts).alias("tw_f"))
     turns, conv = F.lit(None).cast(TURN), F.lit(None).cast("string")
     r = F.col("tw_r")
     for m in layouts:
@@ -114,7 +157,8 @@ def to_turns(records: DataFrame, record: str = "record", layouts: tuple[Mapping,
 
 
 def unknown(records: DataFrame, record: str = "record", layouts: tuple[Mapping, ...] = LAYOUTS) -> DataFrame:
-    return records.where(~fingerprint(F.col(record)).isin([fingerprint_of(m.shape) for m in layouts]))
+    """Records of no known layout, those that don't parse among them."""
+    return records.where(~F.coalesce(fingerprint(F.col(record), layouts).isin([fingerprint_of(m.shape) for m in layouts]), F.lit(False)))
 
 
 def escape(text: Column) -> Column:
