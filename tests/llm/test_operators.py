@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tilewright.llm import bpe, bwt, chat, dartminhash, debruijn, decision_list, jpeg, maxent, media, q_bpe, q_chat, q_near, rule_ensemble, soft_mixing, suffix_dedup, textstats, transducer
+from tilewright.llm import bpe, bwt, chat, dartminhash, debruijn, decision_list, jpeg, maxent, media, q_bpe, q_chat, q_near, rule_ensemble, soft_mixing, suffix_dedup, textstats, transducer, wordhash
 from tilewright.llm.common import remainder
 
 SMALL = "/root/testdata/sf0.001"
@@ -337,6 +337,104 @@ def test_lm_beats_its_base_on_held_out_rows(spark):
     assert r[0] > r[1]
 
 
+def mixed64(x):
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB % 2**64
+    return x ^ (x >> 31)
+
+
+def plain_lm(rows):
+    """The model in loops over tokens and dicts. rows: (id, text, held out)."""
+    named = {}
+
+    def name(w):
+        if w not in named:
+            d = np.frombuffer(w, np.uint8)
+            h = int(wordhash.hash_words(d, np.array([0, len(w)]))[0][0]) if w else 0
+            first = int(wordhash.hash_spans(d, np.array([0]), np.array([min(3, len(w))]), seed=9)[0]) >> 34 if w else 0
+            named[w] = (max(h, 1) if w else 0, first)
+        return named[w]
+
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    docs = [(i, [bytes(b + 32 if 65 <= b <= 90 else b for b in w) for w in t.encode().split()] + [b""], h) for i, t, h in rows]
+    c = Counter(w for _, ws, h in docs if not h for w in ws)
+    n, v = sum(c.values()), len(c)
+    m = maxent.Model(n, v)
+    top = sorted((w for w in c if w), key=lambda w: (-c[w], signed(name(w)[0])))[: m.own - 1]
+    rank = {b"": 0} | {w: i + 1 for i, w in enumerate(top)}
+    k, own, leaves = m.branch, m.own, m.leaves
+    leaf = lambda w: rank[w] if w in rank else own + mixed64(name(w)[1]) % (leaves - own)
+    symbol = lambda w: (mixed64(rank[w] + 2**41) if w in rank else mixed64(name(w)[1] + 2**40)) >> 33
+    total, kinds = Counter(), Counter()
+    for w, x in c.items():
+        total[leaf(w)] += x
+        kinds[leaf(w)] += 1
+
+    def share(level, prefix, digit):
+        width = k ** (2 - level)
+        under = lambda d: sum(x for y, x in total.items() if y // width == prefix * k + d) + 0.5
+        return under(digit) / sum(under(d) for d in range(k))
+
+    shares = {}
+
+    def shared(level, prefix):
+        if (level, prefix) not in shares:
+            shares[level, prefix] = [share(level, prefix, d) for d in range(k)]
+        return shares[level, prefix]
+
+    def events(ws):
+        for i, w in enumerate(ws):
+            s = [symbol(ws[i - d]) if i >= d else 0 for d in (1, 2, 3)]
+            feats = [mixed64(s[0] + 11), mixed64((mixed64(s[0] + 23) + s[1]) % 2**64), mixed64(s[1] + (37 << 32)), mixed64(s[2] + (53 << 32))]
+            for level in range(3):
+                upto = leaf(w) // k ** (2 - level)
+                at = [(((f ^ ((upto // k) * 0xA0761D6478BD642F + 0xD6E8FEB86659FD93 * (1 + j + 4 * level)) % 2**64) * 0x9E3779B97F4A7C15) % 2**64) >> (64 - m.bits) for j, f in enumerate(feats)]
+                yield w, level, upto // k, upto % k, at
+
+    seen, due = Counter(), Counter()
+    for _, ws, h in docs:
+        if not h:
+            for _, level, prefix, y, at in events(ws):
+                for b in at:
+                    seen[level, b, y] += 1
+                    for d in range(k):
+                        due[level, b, d] += shared(level, prefix)[d]
+    weight = {}
+    for level, b, d in due:
+        part = due[level, b, d] / sum(due[level, b, e] for e in range(k)) * maxent.DAMP
+        weight[level, b, d] = maxent.RATE * math.log((seen[level, b, d] + part) / (due[level, b, d] + part))
+    for i, ws, _ in docs:
+        out = 0.0
+        for w, level, prefix, y, at in events(ws):
+            z = [math.log(shared(level, prefix)[d]) + sum(weight.get((level, b, d), 0.0) for b in at) for d in range(k)]
+            out += z[y] - math.log(sum(map(math.exp, z)))
+        yield i, out / math.log(10) + sum(math.log10((c[w] + 0.5) / (total[leaf(w)] + 0.5 * (kinds[leaf(w)] + 1))) for w in ws)
+
+
+def test_lm_scores_equal_plain_loops(spark):
+    rng = random.Random(8)
+    words = [rng.choice(["stone", "Sto", "x", "long" * 30, "é"]) + str(rng.randint(0, 9)) for _ in range(1500)] + ["rare%d" % i for i in range(1200)]
+    rows = [(i, " ".join(rng.choice(words) if rng.random() < 0.5 else "the a of".split()[j % 3] for j in range(rng.randint(0, 60))), i % 5 == 1) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, text string, held boolean")
+    want = dict(plain_lm(rows))
+    for parts in (1, 7):
+        got = {r.doc_id: r.score for r in maxent.score(df.repartition(parts, "id"), F.col("held"), key="id").collect()}
+        assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 2e-3 * max(1, abs(want[i])) for i in want)
+
+
+def test_lm_scores_do_not_depend_on_the_partitioning(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    one, two = ({r.doc_id: (r.score, r.base_score, r.n_known) for r in maxent.score(docs.repartition(n, "doc_id"), remainder(F.col("doc_id")) == 1).collect()} for n in (4, 13))
+    assert one.keys() == two.keys() and all(np.allclose(one[i], two[i], rtol=1e-4) for i in one)
+
+
+def test_long_words_that_look_alike_are_told_apart():
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    assert len(set(wordhash.hash_words(np.frombuffer((a + " " + b).encode(), np.uint8), np.array([0, 2 * len(a) + 1]))[0].tolist())) == 2
+
+
 # 8
 
 
@@ -351,16 +449,18 @@ def test_mixing_meets_targets(spark, odd, none, labels):
     aim = {d: have["clean"] / 0.9 * w for d, w in weights.items()}
     off = lambda x: sum(((x[d] - aim[d]) / have[d]) ** 2 for d in aim)
     assert off(got) < off(have)
-    # plain numpy steps over all documents, not cells
+    # plain numpy steps over all documents, not cells, until nothing moves
     p, t = r[[f"p_{d}" for d in soft_mixing.DOMAINS]].to_numpy(), r.n_tokens.to_numpy(float)
-    total, rate = np.array([have[d] for d in soft_mixing.DOMAINS]), np.ones(len(r))
+    total, rate, was = np.array([have[d] for d in soft_mixing.DOMAINS]), np.ones(len(r)), np.full(3, 9.0)
     want = have["clean"] / 0.9 * np.array([0.9, 0.1, 0.0])
-    for _ in range(30):
+    for _ in range(400):
         move = ((t * rate) @ p - want) / total
-        if np.abs(move).max() < 5e-4:
-            break
         rate = np.clip(rate * (1 - 0.9e-4) + 0.9e-4 - 0.9 * (p @ move), 0, 2)
+        if np.abs(move - was).max() < 1e-7:
+            break
+        was = move
     assert np.allclose(rate, r.rate, atol=1e-6)
+    assert np.abs(move - was).max() < 1e-5
     out = soft_mixing.mixed(odd, soft_mixing.learn(odd, labels))
     assert out.columns == odd.columns
     assert soft_mixing.mixed(none, soft_mixing.learn(none, labels)).count() == 0
@@ -388,6 +488,18 @@ def test_chat_layouts_and_escapes(spark):
     assert chat.render(chat.to_turns(df.limit(0))).count() == 0
 
 
+def test_no_turn_is_too_long(spark):
+    long = spark.range(3).select(F.concat(F.lit("x<|\n"), F.repeat(F.lit("ab \"c\\"), 3_600_000)).alias("text"), "id")
+    rows = long.where("id = 0").select(F.to_json(F.struct(F.lit(1).alias("conv_id"), F.lit(0).alias("turn"), F.lit("assistant").alias("role"), "text")).alias("record"))
+    listed = long.where("id = 1").select(F.to_json(F.struct(F.lit(2).alias("id"), F.array(F.struct(F.lit("user").alias("role"), F.col("text").alias("content"))).alias("messages"))).alias("record"))
+    other = long.where("id = 2").select(F.to_json(F.struct("text", F.lit(1).alias("no"))).alias("record"))
+    records = rows.unionByName(listed).unionByName(other)
+    got = chat.render(chat.to_turns(records)).select("conv_id", F.sha2(chat.parse(F.col("formatted"))[0]["text"], 256).alias("h"), F.char_length(chat.masked(F.col("formatted"), F.col("loss_spans"))).alias("n")).collect()
+    want = "x<|\n" + 'ab "c\\' * 3_600_000
+    assert sorted(map(tuple, got)) == [(str(i), hashlib.sha256(want.encode()).hexdigest(), len(want) if i == 1 else 0) for i in (1, 2)]
+    assert chat.unknown(records).count() == 1
+
+
 def test_chat_equals_sql(spark):
     import duckdb
 

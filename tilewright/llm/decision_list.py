@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.llm import textstats
-from tilewright.llm.common import labelled
+from tilewright.llm.common import fresh, labelled
 from tilewright.llm.textstats import let
 
 #: Statistics that rules may test: rates that don't follow a text's length.
@@ -178,6 +178,6 @@ def judge(docs: DataFrame, rules: list[list[Condition]], text: str = "text", int
 
 def keep(docs: DataFrame, rules: list[list[Condition]], text: str = "text") -> DataFrame:
     """The documents that pass, with their own columns only."""
-    names = docs.columns
-    judged = judge(docs, rules, text, "tw_q")
-    return judged.where(F.col("tw_q.kept")).select(*[F.col(f"`{n}`") for n in names])
+    verdict_name = fresh(docs, "tw_q")
+    judged = judge(docs, rules, text, verdict_name)
+    return judged.where(F.col(f"{verdict_name}.kept")).select(*[F.col(f"`{n}`") for n in docs.columns])

@@ -1,29 +1,38 @@
 """LM scoring: a hashed maximum-entropy model with class-factored softmax.
 
-p(word | history) = p(class | history) * p(word | class). A word's class is its own if it is
-among the most frequent, else that of its first letters. p(class | history) is a softmax
-over hashed features of the history: the last word, the last two, and two skips. Words
-that are rare stand in features by their first letters. p(word | class) is the smoothed
-share of the word's count. Weights are trained by distributed gradient updates: each task
-walks its tokens with stochastic gradient steps from the common weights, and tasks' weights
-are averaged, bucket by bucket, in one aggregation an epoch.
-
-Texts are tokenized once into blocks of about 8 MB: token numbers, and the block's distinct
+p(word | history) = p(c1 | h) * p(c2 | c1, h) * p(c3 | c1, c2, h) * p(word | c1 c2 c3). A word's
+three classes are digits of its leaf: each frequent word has a leaf of its own, so all of
+its probability depends on the history; the others share leaves by their first letters,
+and a leaf's words have the smoothed shares of their counts. Each of the three factors is
+a softmax over hashed features of the history, together with the classes chosen so far:
+the last word, the last two, and two skips. Rare words stand in features by their first letters.
+With no weights the model is the unigram model, as the classes' own shares are its bias.
+
+Weights are trained by distributed updates over all training tokens: tasks add up, for each
+bucket and class, how often the class came and how often the model expected it, in whole
+numbers (so sums are the same however the tokens are dealt out); a bucket's weights move by
+the logarithm of the one over the other, its gradient in the scale of the weights. Buckets
+grow with the square root of the training tokens, classes with the sixth root of the words
+(and the words that have a leaf of their own with the square root): at 10^13 tokens and
+10^9 words, weights take 1.6 GB. They are what is broadcast; their size is known beforehand.
+
+Texts are tokenized once into blocks of about 16 MB: token numbers, and the block's distinct
 words, by 64-bit hashes, with their counts. Counts are summed over all blocks, and each block gets the counts
-of its own words back by a join; no table of all words is ever gathered. A block's words
-stand once in it, so even the most frequent word is a row a block.
+of those of its words back that other blocks have too; no table of all words is ever
+gathered. A block's words stand once in it, so even the most frequent word is a row a block.
 
 Defined cases: a null or empty text is one end token; repeated rows are scored alike and
-counted each; with nothing to learn from, all counts are 0 and the classes even.
+counted each; with nothing to learn from, all counts are 0 and the classes even. A text is
+handled whole: one of n bytes takes some 40 n bytes of a worker's memory.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,241 +40,349 @@ from tilewright.llm.arrays import slices, text_bytes
 from tilewright.llm.common import discard, stored
 from tilewright.llm.wordhash import hash_spans, hash_words, mix
 
-#: Classes, of which those of frequent words and the end come first; hash buckets of features.
-CLASSES, FREQUENT, BUCKETS, FEATURES = 64, 31, 4096, 4
-#: A word of fewer training tokens stands in features by its first letters.
-RARE = 256
-BLOCK = 8 << 20
+LEVELS, FEATURES = 3, 4
+BLOCK = 16 << 20
+#: Tokens of a block that are opened at once, those whose softmax is computed at once, and what a whole is in the sums of expectations.
+SLICE, BATCH, WHOLE = 1 << 19, 16384, 1 << 16
+#: How far a bucket's weights move towards what was seen, and how many tokens of the model's own expectation are added to both.
+RATE, DAMP = 0.6, 4.0
+#: Ranges of buckets that sums are added up in.
+RANGES = 64
 #: What stands for the end token among hashes of words.
 _END = np.uint64(0)
 
 
 def blocks(docs: DataFrame, held: Column, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a block: ids and sizes of its documents, its tokens as numbers of its words, and its words."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
-        size = 0
+        size, made = 0, TaskContext.get().partitionId() << 32
         for b in batches:
-            data, off = text_bytes(b.column(2))
+            off = text_bytes(b.column(2))[1]
             for i, j in slices(np.diff(off), BLOCK):
-                part = b.slice(i, j - i)
                 n = int(off[j] - off[i])
                 if waiting and size + n > BLOCK:
-                    yield _block(pa.Table.from_batches(waiting))
-                    waiting, size = [], 0
-                waiting.append(part)
+                    yield _block(pa.Table.from_batches(waiting), made)
+                    waiting, size, made = [], 0, made + 1
+                waiting.append(b.slice(i, j - i))
                 size += n
         if waiting:
-            yield _block(pa.Table.from_batches(waiting))
+            yield _block(pa.Table.from_batches(waiting), made)
 
     schema = "bid bigint, ids array<bigint>, held array<boolean>, sizes array<int>, tokens binary, words array<bigint>, tf array<int>, shape array<int>"
-    return docs.select(F.col(key).cast("long").alias("id"), held.alias("held"), text).mapInArrow(rows, schema)
+    return docs.select(F.col(f"`{key}`").cast("long").alias("id"), held.alias("held"), F.col(f"`{text}`").alias("text")).mapInArrow(rows, schema)
+
+
+def _one(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
 
 
-def _block(t: pa.Table) -> pa.RecordBatch:
+def _block(t: pa.Table, bid: int) -> pa.RecordBatch:
     held = np.asarray(t.column(1).combine_chunks().fill_null(False))
     data, off = text_bytes(t.column(2))
-    data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
     hashes, counts, letters = [], [], []
     for i, j in slices(np.diff(off)):
         part = data[off[i] : off[j]]
+        part = np.where((part >= 65) & (part <= 90), part + 32, part).astype(np.uint8)
         h, n, starts, ends = hash_words(part, off[i : j + 1] - off[i])
         hashes.append(np.maximum(h, 1))
         counts.append(n)
         letters.append((hash_spans(part, starts, np.minimum(ends, starts + 3), seed=9) >> np.uint64(34)).astype(np.int32))
     h, n, letters = (np.concatenate(x) if x else np.zeros(0, k) for x, k in ((hashes, np.uint64), (counts, np.int64), (letters, np.int32)))
-    unique, first, code = np.unique(h, return_index=True, return_inverse=True)
-    # the end token comes before all words, as the least hash
+    unique, first, code, often = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+    # words are numbered by how often the block has them, which packs well; the end token comes before all
+    order = np.argsort(-often, kind="stable")
+    number = np.empty(len(order), np.int32)
+    number[order] = np.arange(len(order), dtype=np.int32)
     sizes = n + 1
     at = np.cumsum(sizes)
     tokens = np.zeros(int(at[-1]) if len(at) else 0, np.int32)
     inside = np.ones(len(tokens), bool)
     inside[at - 1] = False
-    tokens[inside] = code + 1
+    tokens[inside] = number[code] + 1
     learn = np.repeat(~held, sizes)
-    tf = np.bincount(tokens[learn], minlength=len(unique) + 1).astype(np.int32)
-    words, shape = np.append(_END, unique).view(np.int64), np.append(np.int32(0), letters[first])
-    one = lambda x, kind: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, kind))
+    tf = np.bincount(tokens[learn], minlength=len(unique) + 1)
+    words, shape = np.append(_END, unique[order]).view(np.int64), np.append(np.int32(0), letters[first[order]])
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array([int.from_bytes(os.urandom(8), "little", signed=True)], pa.int64()),
-            one(t.column(0).combine_chunks(), pa.int64()),
-            one(held, pa.bool_()),
-            one(sizes, pa.int32()),
-            pa.array([pa.compress(tokens.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)], pa.binary()),
-            one(words, pa.int64()),
-            one(tf, pa.int32()),
-            one(shape, pa.int32()),
-        ],
+        [pa.array([bid], pa.int64()), _one(t.column(0).combine_chunks(), pa.int64()), _one(held, pa.bool_()), _one(sizes, pa.int32()), _packed(tokens), _one(words, pa.int64()), _one(tf, pa.int32()), _one(shape, pa.int32())],
         ["bid", "ids", "held", "sizes", "tokens", "words", "tf", "shape"],
     )
 
 
-class Tables:
-    """What all tasks share: bounded by the numbers of classes and buckets."""
-
-    def __init__(self, frequent: dict[int, int], totals: np.ndarray, distinct: np.ndarray, tokens: int, types: int) -> None:
-        self.frequent, self.totals, self.distinct, self.tokens, self.types = frequent, totals, distinct, tokens, types
-
-
-def classes_of(words: np.ndarray, shape: np.ndarray, frequent: dict[int, int]) -> np.ndarray:
-    """Class of each word, by its hash and the hash of its first letters."""
-    out = 1 + FREQUENT + (mix(shape.astype(np.uint64)) % np.uint64(CLASSES - FREQUENT - 1)).astype(np.int64)
-    keys = np.array(sorted(frequent), np.int64)
-    if len(keys) and len(words):
-        at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
-        hit = keys[at] == words
-        out[hit] = np.array([frequent[k] for k in keys.tolist()])[at[hit]]
-    return out
-
-
-def _opened(row: dict, t: Tables) -> tuple:
-    """Of a block: tokens, counts, classes, feature rows, sizes."""
-    sizes = np.asarray(row["sizes"], np.int64)
-    # bytes lie plane by plane, which packs better
-    planes = np.frombuffer(pa.decompress(row["tokens"], decompressed_size=int(sizes.sum()) * 4, codec="zstd", asbytes=True), np.uint8)
-    tokens = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.int32).ravel()
-    # tokens are numbers of words in the order of their unsigned hashes, and so are shapes
-    words, count, shape = np.asarray(row["words"], np.int64), np.asarray(row["c"], np.int64), np.asarray(row["shape"], np.int64)
-    order = np.argsort(words.view(np.uint64))
-    words, count = words[order], count[order]
-    cls = classes_of(words, shape, t.frequent)
-    s = mix(np.where(count >= RARE, words, shape).view(np.uint64))[tokens]
+def _packed(values: np.ndarray) -> pa.Array:
+    """Whole numbers, their bytes plane by plane, compressed."""
+    planes = np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return pa.array([pa.compress(planes.tobytes(), "zstd", asbytes=True)], pa.binary())
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(raw, decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel()
+
+
+class Model:
+    """What all tasks share: the sizes, the leaves' counts, and the weights."""
+
+    def __init__(self, tokens: int, types: int) -> None:
+        self.tokens, self.types = tokens, types
+        self.branch = 16
+        while self.branch**6 < types:
+            self.branch *= 2
+        self.bits = 10
+        while 1 << 2 * self.bits < tokens:
+            self.bits += 1
+        self.leaves = self.branch**LEVELS
+        self.own = self.leaves // 4  # leaves of a single word
+        self.total, self.distinct = np.zeros(self.leaves), np.zeros(self.leaves)
+        self.weights: np.ndarray | None = None  # level, bucket, class
+
+    def leaf_of(self, rank: np.ndarray, shape: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Leaf of each word, and what it stands as in features. rank: among the frequent words, the end token's is 0; below 0 for others."""
+        first = mix(shape.astype(np.uint64))
+        leaf = np.where(rank >= 0, rank, self.own + (first % np.uint64(self.leaves - self.own)).astype(np.int64))
+        symbol = np.where(rank >= 0, mix(rank.astype(np.uint64) + np.uint64(1 << 41)), mix(shape.astype(np.uint64) + np.uint64(1 << 40)))
+        return leaf.astype(np.int32), (symbol >> np.uint64(33)).astype(np.int32)
+
+    def bias(self) -> list[np.ndarray]:
+        """For each level and the classes before it, the logarithms of the classes' shares of the training tokens."""
+        out = []
+        for level in range(LEVELS):
+            n = self.total.reshape(self.branch**level, self.branch, -1).sum(2) + 0.5
+            out.append(np.log(n / n.sum(1, keepdims=True)).astype(np.float32))
+        return out
+
+    def inside(self, count: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """log10 share of a word in its leaf."""
+        return np.log10((count + 0.5) / (self.total[leaf] + 0.5 * (self.distinct[leaf] + 1)))
+
+    def classes(self, leaf: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """The classes before a level as one number, and the class at it."""
+        upto = leaf // self.branch ** (LEVELS - 1 - level)
+        return upto // self.branch, upto % self.branch
+
+    def buckets(self, feature: np.ndarray, kind: int, prefix: np.ndarray, level: int) -> np.ndarray:
+        seed = np.uint64((0xD6E8FEB86659FD93 * (1 + kind + FEATURES * level)) & (2**64 - 1))
+        h = (feature ^ (prefix.astype(np.uint64) * np.uint64(0xA0761D6478BD642F) + seed)) * np.uint64(0x9E3779B97F4A7C15)
+        return (h >> np.uint64(64 - self.bits)).astype(np.uint16 if self.bits <= 16 else np.int64)
+
+
+def features(symbol: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Of each token: the last word, the last two, the one before the last, and the one before that, as hashes."""
     start = np.cumsum(sizes) - sizes
 
     def before(k: int) -> np.ndarray:
-        out = np.zeros(len(s), np.uint64)
-        out[k:] = s[:-k]
+        out = np.zeros(len(symbol), np.uint64)
+        out[k:] = symbol[:-k] if len(symbol) > k else 0
         for d in range(k):
             out[start[sizes > d] + d] = 0
         return out
 
     one, two = before(1), before(2)
-    mod = np.uint64(BUCKETS)
-    feats = [(mix(one ^ np.uint64(11)) % mod).astype(np.uint16), (mix(mix(one ^ np.uint64(23)) + two) % mod).astype(np.uint16), (mix(two ^ np.uint64(37)) % mod).astype(np.uint16)]
-    feats.append((mix(before(3) ^ np.uint64(53)) % mod).astype(np.uint16))
-    return tokens, count, cls, np.stack(feats), sizes
+    return [mix(one + np.uint64(11)), mix(mix(one + np.uint64(23)) + two), mix(two + np.uint64(37 << 32)), mix(before(3) + np.uint64(53 << 32))]
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
+def _logits(m: Model, bias: list[np.ndarray], level: int, prefix: np.ndarray, at: list[np.ndarray]) -> np.ndarray:
+    z = bias[level].take(prefix, axis=0)
+    if m.weights is not None:
+        for rows in at:
+            z += m.weights[level].take(rows, axis=0)
+    z -= z.max(1, keepdims=True)
     return z
 
 
-def _walk(weights: np.ndarray, seen: np.ndarray, feats: np.ndarray, target: np.ndarray, batch: int = 2048, rate: float = 0.7) -> None:
-    """Gradient steps over tokens, in place. A bucket's step shrinks with the root of how often it was seen."""
-    for a in range(0, len(target), batch):
-        f, y = feats[:, a : a + batch], target[a : a + batch]
-        z = weights[-1] + sum(weights[f[k]] for k in range(FEATURES))
-        g = -_softmax(z)
-        g[np.arange(len(y)), y] += 1
-        for k in range(FEATURES):
-            order = np.argsort(f[k], kind="stable")  # a radix sort, at 16 bits
-            ranked = f[k][order]
-            head = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-            buckets = ranked[head]
-            seen[buckets] += np.diff(np.append(head, len(y)))
-            weights[buckets] += (rate / np.sqrt(1 + seen[buckets]))[:, None] * np.add.reduceat(g[order], head)
-        seen[-1] += len(y)
-        weights[-1] += rate / np.sqrt(1 + seen[-1]) * g.sum(0)
-
-
-def train(counted: DataFrame, tables: Tables, *, epochs: int = 1) -> np.ndarray:
-    """Weights, BUCKETS + 1 rows (the last is the bias) of CLASSES."""
-    weights = np.zeros((BUCKETS + 1, CLASSES), np.float32)
-    weights[-1] = np.log((tables.totals + 1) / (tables.totals + 1).sum())
+def log_scores(m: Model, leaf: np.ndarray, feats: list[np.ndarray]) -> np.ndarray:
+    """log10 probability of each token's leaf."""
+    bias, out = m.bias(), np.zeros(len(leaf))
+    for a in range(0, len(leaf), BATCH):
+        y, fs = leaf[a : a + BATCH], [f[a : a + BATCH] for f in feats]
+        for level in range(LEVELS):
+            prefix, c = m.classes(y, level)
+            z = _logits(m, bias, level, prefix, [m.buckets(f, k, prefix, level) for k, f in enumerate(fs)])
+            out[a : a + BATCH] += z[np.arange(len(y)), c] - np.log(np.exp(z).sum(1))
+    return out / np.log(10)
+
+
+class Sums:
+    """How often each class came, and how often it was expected, by level and bucket; expectations in parts of WHOLE."""
+
+    def __init__(self, m: Model) -> None:
+        self.model, self.bias = m, m.bias()
+        self.seen, self.due = (np.zeros((LEVELS, 1 << m.bits, m.branch), np.int64) for _ in range(2))
+
+    def add(self, leaf: np.ndarray, feats: list[np.ndarray]) -> None:
+        m = self.model
+        for level in range(LEVELS):
+            prefix, c = m.classes(leaf, level)
+            for k, f in enumerate(feats):
+                at = m.buckets(f, k, prefix, level).astype(np.int64)
+                self.seen[level] += np.bincount(at * m.branch + c, minlength=m.branch << m.bits).reshape(-1, m.branch)
+                if m.weights is None:
+                    self._by_prefix(level, at, prefix)
+        if m.weights is not None:
+            self._by_token(leaf, feats)
+
+    def _by_prefix(self, level: int, at: np.ndarray, prefix: np.ndarray) -> None:
+        """Without weights, what is expected of a token depends on the classes before it alone, so they are counted."""
+        share = np.exp(self.bias[level].astype(float))
+        share *= WHOLE / share.sum(1, keepdims=True)
+        step, rows = max(1, (1 << 20) // len(share)), len(self.due[level])
+        for lo in range(0, rows, step):
+            some = slice(None) if step >= rows else (at >= lo) & (at < lo + step)
+            n = min(step, rows - lo)
+            joint = np.bincount((at[some] - lo) * len(share) + prefix[some], minlength=n * len(share)).reshape(n, len(share))
+            self.due[level, lo : lo + n] += np.rint(joint @ share).astype(np.int64)
+
+    def _by_token(self, leaf: np.ndarray, feats: list[np.ndarray]) -> None:
+        m = self.model
+        for a in range(0, len(leaf), BATCH):
+            y, fs = leaf[a : a + BATCH], [f[a : a + BATCH] for f in feats]
+            for level in range(LEVELS):
+                prefix, _ = m.classes(y, level)
+                at = [m.buckets(f, k, prefix, level) for k, f in enumerate(fs)]
+                p = np.exp(_logits(m, self.bias, level, prefix, at))
+                p *= WHOLE / p.sum(1, keepdims=True)
+                p = np.rint(p).astype(np.int64)
+                for rows in at:
+                    order = np.argsort(rows, kind="stable")
+                    ranked = rows[order]
+                    head = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+                    self.due[level, ranked[head]] += np.add.reduceat(p.take(order, axis=0), head, axis=0)
+
+
+def moved(seen: np.ndarray, due: np.ndarray, rate: float = RATE, damp: float = DAMP) -> np.ndarray:
+    """By how much weights move: towards what was seen, the less the fewer tokens a bucket has."""
+    due = due / WHOLE
+    share = due / np.maximum(due.sum(-1, keepdims=True), 1e-9)
+    return (rate * np.log((seen + damp * share + 1e-9) / (due + damp * share + 1e-9))).astype(np.float32)
+
+
+class Block:
+    """A row of ``counted_blocks``."""
+
+    def __init__(self, b: pa.RecordBatch, i: int) -> None:
+        get = lambda name: b.column(b.schema.get_field_index(name))[i]
+        self.ids = get("ids").values
+        self.held = np.asarray(get("held").values.fill_null(False))
+        self.sizes = get("sizes").values.to_numpy().astype(np.int64)
+        self.tokens = _unpacked(get("tokens").as_py(), int(self.sizes.sum()))
+        self.count, self.leaf, self.symbol = (get(n).values.to_numpy() for n in ("count", "leaf", "symbol"))
+
+    def slices(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray, list[np.ndarray]]]:
+        """Runs of documents: which they are, their tokens, the tokens' leaves and features."""
+        ends = np.append(0, np.cumsum(self.sizes))
+        for i, j in slices(self.sizes, SLICE):
+            t = self.tokens[ends[i] : ends[j]]
+            yield slice(i, j), t, self.leaf[t], features(self.symbol.astype(np.uint64)[t], self.sizes[i:j])
+
+
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for b in batches:
+        for i in range(len(b)):
+            yield Block(b, i)
+
+
+def counted_blocks(made: DataFrame) -> tuple[DataFrame, Model]:
+    """Blocks with the training counts, leaves and symbols of their words, and the model without weights. made must be stored."""
+    pairs = made.select("bid", F.posexplode(F.arrays_zip("words", "tf", "shape")).alias("pos", "z"))
+    total = stored(pairs.groupBy("z.words").agg(F.sum("z.tf").alias("c"), F.first("z.shape").alias("shape"), F.count("*").alias("blocks")), "counts")
+    whole = total.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    model = Model(int(whole["n"]), int(whole["v"]))
+    top = total.where((F.col("words") != int(_END)) & (F.col("c") > 0)).orderBy(F.col("c").desc(), "words").limit(model.own - 1).select("words")
+    # at most model.own rows
+    ranked = made.sparkSession.createDataFrame([(int(_END), 0), *((r["words"], i) for i, r in enumerate(top.collect(), 1))], "words bigint, rank int")
+    total_ranked = total.join(F.broadcast(ranked), "words", "left").withColumn("rank", F.coalesce("rank", F.lit(-1)))
+    shared = made.sparkSession.sparkContext.broadcast(model)
+
+    def by_leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        n, v = np.zeros(m.leaves, np.int64), np.zeros(m.leaves, np.int64)
+        for b in batches:
+            leaf, _ = m.leaf_of(np.asarray(b.column(0)), np.asarray(b.column(2)))
+            n += np.bincount(leaf, np.asarray(b.column(1)), m.leaves).astype(np.int64)
+            v += np.bincount(leaf, np.asarray(b.column(1)) > 0, m.leaves).astype(np.int64)
+        some = np.flatnonzero(v)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(n[some]), pa.array(v[some])], ["leaf", "n", "v"])
+
+    per = total_ranked.select("rank", "c", "shape").mapInArrow(by_leaf, "leaf int, n bigint, v bigint").groupBy("leaf").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    for r in per.collect():
+        model.total[r["leaf"]], model.distinct[r["leaf"]] = r["n"], r["v"]
+    # words of one block alone have its own counts already
+    wide = total_ranked.where((F.col("c") > 0) & (F.col("blocks") > 1) | (F.col("rank") >= 0)).select("words", "c", "rank")
+    back = pairs.select("bid", "pos", "z.words").join(wide, "words").groupBy("bid").agg(F.collect_list(F.struct("pos", "c", "rank")).alias("hc"))
+
+    def ready(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            for i in range(len(b)):
+                tf, shape = (b.column(k)[i].values.to_numpy() for k in (4, 5))
+                count, ranks, hc = tf.astype(np.int64), np.full(len(tf), -1, np.int64), b.column(6)[i]
+                if hc.is_valid:
+                    pos, c, rank = (x.to_numpy() for x in hc.values.flatten())
+                    count[pos], ranks[pos] = c, rank
+                leaf, symbol = m.leaf_of(ranks, shape)
+                yield pa.RecordBatch.from_arrays([*[b.column(k).slice(i, 1) for k in range(4)], _one(count, pa.int64()), _one(leaf, pa.int32()), _one(symbol, pa.int32())], ["ids", "held", "sizes", "tokens", "count", "leaf", "symbol"])
+
+    both = made.join(back, "bid", "left").select("ids", "held", "sizes", "tokens", "tf", "shape", "hc")
+    kept = stored(both.mapInArrow(ready, "ids array<bigint>, held array<boolean>, sizes array<int>, tokens binary, count array<bigint>, leaf array<int>, symbol array<int>"), "blocks")
+    discard(total)
+    return kept, model
+
+
+def train(counted: DataFrame, model: Model, *, epochs: int = 1, rate: float = RATE, damp: float = DAMP) -> Model:
+    """The model with weights, from as many updates."""
     sc = counted.sparkSession.sparkContext
+    per = -(-(1 << model.bits) // RANGES)
     for _ in range(epochs):
-        sent, shared = sc.broadcast(weights), sc.broadcast(tables)
+        shared = sc.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            w, seen, n = sent.value.copy(), np.zeros(BUCKETS + 1), 0
+            sums = Sums(shared.value)  # noqa: B023
+            for block in _walked(batches):
+                for docs, _, leaf, feats in block.slices():
+                    learn = np.repeat(~block.held[docs], block.sizes[docs])
+                    sums.add(leaf[learn], [f[learn] for f in feats])
+            for r in range(RANGES):
+                raw = [np.ascontiguousarray(x[:, r * per : (r + 1) * per]).tobytes() for x in (sums.seen, sums.due)]  # noqa: B023
+                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), *[pa.array([pa.compress(x, "zstd", asbytes=True)], pa.binary()) for x in raw]], ["part", "seen", "due"])
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            m, sums = shared.value, {}  # noqa: B023
             for b in batches:
-                for row in _lines(b):
-                    tokens, _, cls, feats, sizes = _opened(row, shared.value)
-                    learn = np.repeat(~np.asarray(row["held"], bool), sizes)
-                    _walk(w, seen, feats[:, learn], cls[tokens[learn]])
-                    n += int(learn.sum())
-            if n:
-                some = np.flatnonzero((w != sent.value).any(1))
-                move = ((w[some] - sent.value[some]) * (seen[some] + 1)[:, None]).astype(np.float32)
-                lists = pa.FixedSizeListArray.from_arrays(pa.array(move.ravel()), CLASSES).cast(pa.list_(pa.float32()))
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(seen[some] + 1), lists], ["bucket", "n", "move"])
-
-        moves = counted.mapInArrow(run, "bucket int, n double, move array<float>")
-        summed = moves.groupBy("bucket").agg(F.sum("n").alias("n"), *[F.sum(F.col("move")[k].cast("double")).alias(f"m{k}") for k in range(CLASSES)])
-        weights = weights.copy()
-        for r in summed.collect():
-            weights[r["bucket"]] += np.array(r[2:], float) / r["n"]
-    return weights
-
-
-def _lines(b: pa.RecordBatch) -> Iterator[dict]:
-    """Rows as dicts of numpy arrays and bytes."""
-    for i in range(len(b)):
-        out = {}
-        for k, name in enumerate(b.schema.names):
-            v = b.column(k)[i]
-            if name in ("tokens", "bid"):
-                out[name] = v.as_py()
-            else:
-                out[name] = v.values.to_numpy(zero_copy_only=False) if v.is_valid else np.zeros(0, np.int64)
-        yield out
-
-
-def counted_blocks(made: DataFrame) -> tuple[DataFrame, Tables]:
-    """Blocks with the training counts of their words (columns words and c, in any order), and the shared tables. made must be stored."""
-    pairs = made.select("bid", F.explode(F.arrays_zip("words", "tf", "shape")).alias("z"))
-    total = stored(pairs.select("z.words", "z.tf", "z.shape").where(F.col("tf") > 0).groupBy("words").agg(F.sum("tf").alias("c"), F.first("shape").alias("shape")), "counts")
-    whole = total.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    top = [r["words"] for r in total.where(F.col("words") != int(_END)).orderBy(F.col("c").desc(), "words").limit(FREQUENT).collect()]
-    frequent = {w: i + 1 for i, w in enumerate(top)} | {int(_END): 0}
-
-    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, v = np.zeros(CLASSES), np.zeros(CLASSES)
-        for b in batches:
-            cls = classes_of(np.asarray(b.column(0)).astype(np.int64), np.asarray(b.column(2)).astype(np.int64), frequent)
-            n += np.bincount(cls, np.asarray(b.column(1)), CLASSES)
-            v += np.bincount(cls, minlength=CLASSES)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES), pa.int32()), pa.array(n), pa.array(v)], ["k", "n", "v"])
-
-    per = total.select("words", "c", "shape").mapInArrow(classed, "k int, n double, v double").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
-    totals, distinct = np.zeros(CLASSES), np.zeros(CLASSES)
-    for r in per:
-        totals[r["k"]], distinct[r["k"]] = r["n"], r["v"]
-    # every word comes back, those without a count too, so the block's own list needn't travel along
-    own = pairs.select("bid", "z.words").join(total.select("words", "c"), "words", "left").groupBy("bid").agg(F.collect_list(F.struct("words", F.coalesce("c", F.lit(0)).alias("c"))).alias("hc"))
-    counted = made.select("bid", "ids", "held", "sizes", "tokens", "shape").join(own, "bid").select("bid", "ids", "held", "sizes", "tokens", "shape", F.col("hc.words").alias("words"), F.col("hc.c").alias("c"))
-    kept = stored(counted, "blocks")
-    discard(total)
-    return kept, Tables(frequent, totals, distinct, int(whole["n"] or 0), int(whole["v"]))
-
-
-def scored(counted: DataFrame, tables: Tables, weights: np.ndarray) -> DataFrame:
+                for i in range(len(b)):
+                    r = b.column(0)[i].as_py()
+                    n = max(0, min(per, (1 << m.bits) - r * per))  # noqa: B023
+                    both = sums.setdefault(r, np.zeros((2, LEVELS, n, m.branch), np.int64))
+                    for k in (0, 1):
+                        both[k] += np.frombuffer(pa.decompress(b.column(1 + k)[i].as_py(), decompressed_size=both[k].nbytes, codec="zstd", asbytes=True), np.int64).reshape(both[k].shape)
+            for r, (seen, due) in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([moved(seen, due, rate, damp).tobytes()], pa.binary())], ["part", "move"])
+
+        # as few tasks as keep all cores busy: what each has added up is as large as the model
+        told = counted.coalesce(max(1, 2 * sc.defaultParallelism)).mapInArrow(run, "part int, seen binary, due binary")
+        new = np.zeros((LEVELS, 1 << model.bits, model.branch), np.float32) if model.weights is None else model.weights.copy()
+        for r in told.repartition("part").mapInArrow(add, "part int, move binary").collect():
+            part = new[:, r["part"] * per : (r["part"] + 1) * per]
+            part += np.frombuffer(r["move"], np.float32).reshape(part.shape)
+        model.weights = new
+    return model
+
+
+def scored(counted: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
-    sc = counted.sparkSession.sparkContext
-    sent, shared = sc.broadcast(weights), sc.broadcast(tables)
+    shared = counted.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, t = sent.value, shared.value
-        for b in batches:
-            for row in _lines(b):
-                tokens, count, cls, feats, sizes = _opened(row, t)
+        m = shared.value
+        for block in _walked(batches):
+            known, base = block.count > 0, np.log10((block.count + 0.5) / (m.tokens + 0.5 * (m.types + 1)))
+            inside = m.inside(block.count, block.leaf)
+            for docs, t, leaf, feats in block.slices():
+                sizes = block.sizes[docs]
                 owner = np.repeat(np.arange(len(sizes)), sizes)
-                c = count[tokens]
-                base = np.log10((c + 0.5) / (t.tokens + 0.5 * (t.types + 1)))
-                inside = np.log10((count + 0.5) / (t.totals[cls] + 0.5 * (t.distinct[cls] + 1)))[tokens]
-                y, best = cls[tokens], np.zeros(len(tokens))
-                for a in range(0, len(tokens), 16384):
-                    f = feats[:, a : a + 16384]
-                    p = _softmax(w[-1] + sum(w[f[k]] for k in range(FEATURES)))
-                    best[a : a + 16384] = np.log10(np.maximum(p[np.arange(p.shape[0]), y[a : a + 16384]], 1e-30))
-                m = len(sizes)
-                add = lambda x: np.bincount(owner, x, m)
+                add = lambda x: np.bincount(owner, x, len(sizes))  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["ids"], pa.int64(), from_pandas=True) if row["ids"].dtype != float else pa.array([None if x != x else int(x) for x in row["ids"]], pa.int64()), pa.array(np.asarray(row["held"], bool)), pa.array(sizes), pa.array(add(c > 0).astype(np.int64)), pa.array(np.full(m, t.tokens, np.int64)), pa.array(add(base)), pa.array(add(best + inside))],
+                    [block.ids[docs], pa.array(block.held[docs]), pa.array(sizes), pa.array(add(known[t]).astype(np.int64)), pa.array(np.full(len(sizes), m.tokens, np.int64)), pa.array(add(base[t])), pa.array(add(log_scores(m, leaf, feats) + inside[t]))],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
@@ -275,6 +392,6 @@ def scored(counted: DataFrame, tables: Tables, weights: np.ndarray) -> DataFrame
 def score(docs: DataFrame, held: Column, *, key: str = "doc_id", text: str = "text", epochs: int = 1) -> DataFrame:
     """All documents, scored by a model of those that aren't held out."""
     made = stored(blocks(docs, held, key=key, text=text), "tokens")
-    counted, tables = counted_blocks(made)
+    counted, model = counted_blocks(made)
     discard(made)
-    return scored(counted, tables, train(counted, tables, epochs=epochs))
+    return scored(counted, train(counted, model, epochs=epochs))

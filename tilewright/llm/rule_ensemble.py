@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.llm import textstats
-from tilewright.llm.common import labelled
+from tilewright.llm.common import fresh, labelled
 from tilewright.llm.textstats import FEATURES
 
 #: Rows that the ensemble is fitted on, at most.
@@ -161,5 +161,6 @@ def learn(docs: DataFrame, labels: DataFrame, *, learn_if: Column | None = None,
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", into: str = "tw_score") -> DataFrame:
-    out = textstats.with_counts(docs, text, "tw_s")
-    return out.withColumn(into, model.column(F.col("tw_s"))).drop("tw_s")
+    """docs with one more column, the score; others stay as they are, whatever their names."""
+    counts = fresh(docs, "tw_s")
+    return textstats.with_counts(docs, text, counts).withColumn(into, model.column(F.col(counts))).drop(counts)

@@ -37,27 +37,23 @@ def duplicate_lines(text: Column) -> Column:
 def repeat_words(ws: Column, width: int = 3) -> Column:
     """Words inside a window of ``width`` words that the text holds twice or more.
 
-    A text whose windows all differ is done after one pass. Otherwise long integers
-    that hold the upper bits of a window's hash above its position are sorted, so that
-    equal windows are neighbours; neighbours are compared by their whole hashes, and the
-    covered words are counted from the gaps between starts: O(n log n) per document.
+    A text whose windows all differ is done after one pass. Otherwise hashes of windows are
+    sorted with their positions, so that equal windows are neighbours, and the covered words
+    are counted from the gaps between starts: O(n log n) per document.
     """
     hashes = F.when(F.size(ws) >= width, F.transform(F.sequence(F.lit(0), F.size(ws) - width), lambda i: F.xxhash64(*[F.get(ws, i + j) for j in range(width)]))).otherwise(F.array().cast("array<bigint>"))
 
     def of(h: Column) -> Column:
-        mask = F.pow(F.lit(2), F.ceil(F.log2(F.size(h) + F.lit(1)))).cast("long") - 1
-
-        def starts(p: Column, m: Column) -> Column:
-            at = lambda x: F.get(h, x.bitwiseAND(m).cast("int"))
-            kept = F.filter(p, lambda x, k: (at(x) == at(F.get(p, k + 1))) | (at(x) == at(F.get(p, k - 1))))
-            return F.sort_array(F.transform(kept, lambda x: x.bitwiseAND(m)))
+        def starts(p: Column) -> Column:
+            kept = F.filter(p, lambda x, k: (x["h"] == F.get(p, k + 1)["h"]) | (x["h"] == F.get(p, k - 1)["h"]))
+            return F.sort_array(F.transform(kept, lambda x: x["i"]))
 
         def covered(r: Column) -> Column:
-            gaps = F.transform(r, lambda x, k: F.least(F.lit(width).cast("long"), F.coalesce(F.get(r, k + 1) - x, F.lit(width).cast("long"))))
+            gaps = F.transform(r, lambda x, k: F.least(F.lit(width), F.coalesce(F.get(r, k + 1) - x, F.lit(width))))
             return F.aggregate(gaps, F.lit(0).cast("long"), lambda a, g: a + g)
 
-        packed = lambda m: F.sort_array(F.transform(h, lambda x, i: x.bitwiseAND(F.bitwise_not(m)).bitwiseOR(i.cast("long"))))
-        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(let(mask, lambda m: let(packed(m), lambda p: let(starts(p, m), covered))))
+        placed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(let(placed, lambda p: let(starts(p), covered)))
 
     return let(hashes, of)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _WHITE = np.zeros(256, bool)
@@ -53,10 +55,17 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
+#: Words of more bytes are hashed by blake2b, as sums modulo 2^64 of long self-similar words can be equal.
+LONG = 64
+
+
 def hash_words(data: np.ndarray, off: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all words, words of each text, and the words' starts and ends."""
     starts, ends, n = word_bounds(data, off)
-    return hash_spans(data, starts, ends, seed), n, starts, ends
+    h = hash_spans(data, starts, ends, seed)
+    for i in np.flatnonzero(ends - starts > LONG).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, key=b"%d" % seed).digest(), "little")
+    return h, n, starts, ends
 
 
 def runs(h: np.ndarray, width: int) -> np.ndarray:
