@@ -72,3 +72,18 @@ def count_objects(docs: DataFrame, key: str = "slide_id", doc: str = "doc") -> D
     n = F.coalesce(F.when(listed.isNotNull(), F.size(listed)), F.lit(0))
     count = F.when(F.col("v").isNull(), 0).when(kind == "FeatureCollection", n).when(kind == "Feature", 1).when(kind.isin(*GEOMETRIES), 1).when(kind.isNull(), n).otherwise(0)
     return docs.withColumn("v", v).select(key, count.cast("bigint").alias("count"), F.col("v").isNotNull().alias("ok"))
+
+
+def count_totals(counts: DataFrame) -> DataFrame:
+    """One row: objects of all files that parse, and how many do and don't."""
+    ok = F.col("ok")
+    return counts.agg(F.coalesce(F.sum(F.when(ok, F.col("count"))), F.lit(0)).cast("bigint").alias("total"), F.count_if(ok).alias("parsed"), F.count_if(~ok).alias("failed"))
+
+
+def sorted_counts(counts: DataFrame, mode: str = "path", key: str = "path") -> DataFrame:
+    """By path, by count from the highest (equal ones by path), or as they come."""
+    if mode == "path":
+        return counts.orderBy(key)
+    if mode == "count":
+        return counts.orderBy(F.desc("count"), key)
+    return counts

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import paths as p
 
+# The suffixes that count.
 SLIDE_SUFFIXES = (".svs", ".tif", ".tiff", ".ndpi", ".mrxs")
 ANNOTATION_SUFFIXES = (".geojson", ".json")
 
@@ -16,7 +17,7 @@ def of_kind(files: DataFrame, suffixes: tuple[str, ...]) -> DataFrame:
 
 
 def match_stems(stem: Column) -> Column:
-    return F.when(F.lower(stem).endswith(".ome"), F.array(stem, F.substring(stem, F.lit(1), F.char_length(stem) - 4))).otherwise(F.array(stem))
+    return F.when(stem.endswith(".ome"), F.array(stem, F.substring(stem, F.lit(1), F.char_length(stem) - 4))).otherwise(F.array(stem))
 
 
 def candidates(files: DataFrame) -> DataFrame:
@@ -33,13 +34,34 @@ def pairs(files: DataFrame) -> DataFrame:
     return c.select("wsi_path", "gt_path", F.when(F.col("near") > 0, F.col("near") > 1).otherwise(F.col("far") > 1).alias("ambiguous"))
 
 
-def diagnostics(files: DataFrame) -> DataFrame:
-    """One row: files, slides, annotation files, matched and unmatched slides, orphan annotation files, ambiguous slides."""
-    made = pairs(files)
-    orphans = of_kind(files, ANNOTATION_SUFFIXES).join(made.select(F.col("gt_path").alias("path")), "path", "left_anti")
-    a = files.agg(F.count("*").alias("total_files"))
-    b = made.agg(F.count("*").alias("slides"), F.count_if(F.col("gt_path").isNotNull()).alias("matched"), F.count_if(F.col("gt_path").isNull()).alias("unmatched"), F.count_if("ambiguous").alias("ambiguous"))
-    c = of_kind(files, ANNOTATION_SUFFIXES).agg(F.count("*").alias("annotation_files"))
-    d = orphans.agg(F.count("*").alias("orphans"))
-    # four tables of one row each
-    return a.join(b).join(c).join(d)
+def probed(files: DataFrame) -> DataFrame:
+    """Each slide's file in its own folder alone, by suffix and then with the whole stem before the shortened one; null where there is none."""
+    beside = candidates(files).where("same_dir")
+    path = F.col("gt_path")
+    rank = F.struct(p.suffix(path), p.stem(path) != p.stem(F.col("wsi_path")))
+    lower = beside.where(p.suffix(path).isin(*ANNOTATION_SUFFIXES)).groupBy("wsi_path").agg(F.min_by("gt_path", rank).alias("gt_path"))
+    slides = of_kind(files, SLIDE_SUFFIXES).select(F.col("path").alias("wsi_path"))
+    return slides.join(lower, "wsi_path", "left")
+
+
+def diagnostics(files: DataFrame, made: DataFrame | None = None, validated: DataFrame | None = None) -> DataFrame:
+    """One row: files, slides, annotation files, matched and unmatched slides, orphan annotation files, ambiguous slides.
+
+    validated: rows of ``geojson.validate`` with a path for each annotation file; then what is invalid or empty is counted too.
+    """
+    made = pairs(files) if made is None else made
+    gt = of_kind(files, ANNOTATION_SUFFIXES)
+    orphans = gt.join(made.select(F.col("gt_path").alias("path")), "path", "left_anti")
+    one, none = F.lit(1), F.lit(0)
+    names = ("total_files", "slides", "matched", "unmatched", "ambiguous", "annotation_files", "orphans", "invalid_annotations", "empty_annotations", "skipped_features")
+
+    def flags(df: DataFrame, **told: Column) -> DataFrame:
+        return df.select(*[told.get(n, none).cast("bigint").alias(n) for n in names])
+
+    found = F.col("gt_path").isNotNull()
+    rows = flags(files, total_files=one).unionByName(flags(gt, annotation_files=one)).unionByName(flags(orphans, orphans=one))
+    rows = rows.unionByName(flags(made, slides=one, matched=found, unmatched=~found, ambiguous=F.col("ambiguous")))
+    if validated is not None:
+        bad = F.col("parse_error")
+        rows = rows.unionByName(flags(validated, invalid_annotations=bad, empty_annotations=~bad & (F.col("annotation_count") == 0), skipped_features=F.col("skipped_features")))
+    return rows.agg(*[F.coalesce(F.sum(n), none).alias(n) for n in (names if validated is not None else names[:7])])

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# What counts as tissue, and the names of variants.
+MIN_TISSUE = 0.10
 MIN_SATURATION, MAX_VALUE = 12, 245
 VARIANTS = ("orig", "clahe", "hsv", "brightness_contrast", "gamma")
 
@@ -40,6 +42,30 @@ def brightness_contrast(v: Column, contrast: float, brightness: float) -> Column
     return F.floor(F.greatest(F.lit(0.0), F.least(F.lit(255.0), v * F.lit(1 + contrast) + F.lit(brightness * 255)))).cast("int")
 
 
+def shifted_hsv(r: Column, g: Column, b: Column, dh: int, ds: int, dv: int) -> tuple[Column, Column, Column]:
+    """``shift_hsv`` as columns: hue, saturation and value shifted and clipped, back to red, green and blue."""
+    v, low = F.greatest(r, g, b), F.least(r, g, b)
+    d = v - low
+    safe = F.greatest(d, F.lit(1)).cast("double")
+    h = F.when(v == r, 60.0 * (g - b) / safe).when(v == g, 120 + 60.0 * (b - r) / safe).otherwise(240 + 60.0 * (r - g) / safe)
+    h = F.when(d == 0, F.lit(0.0)).when(h < 0, h + 360).otherwise(h) / 2
+    clip = lambda x, top: F.greatest(F.lit(0), F.least(F.lit(top), x)).cast("double")
+    h = clip(F.rint(h).cast("int") % 180 + dh, 179) / 30
+    s, v = clip(saturation(r, g, b) + ds, 255) / 255, clip(v + dv, 255)
+
+    def part(n: int) -> Column:
+        k = (n + h) % 6
+        return F.rint(v - v * s * F.greatest(F.lit(0.0), F.least(k, 4 - k, F.lit(1.0)))).cast("int")
+
+    return part(5), part(3), part(1)
+
+
+def tissue_share(image: np.ndarray) -> float:
+    """Share of an image's pixels that are saturated and not bright."""
+    hsv = rgb_to_hsv(image)
+    return float(((hsv[..., 1] > MIN_SATURATION) & (hsv[..., 2] < MAX_VALUE)).mean())
+
+
 def rgb_to_hsv(image: np.ndarray) -> np.ndarray:
     """Hue in half degrees (0..179), saturation and value in 8 bits."""
     x = image.astype(np.int32)
@@ -96,13 +122,42 @@ def clahe(channel: np.ndarray, clip: float, grid: int = 8) -> np.ndarray:
     return np.rint(out).astype(np.uint8)
 
 
-def variants(image: np.ndarray, rng) -> list[tuple[str, np.ndarray]]:  # noqa: ANN001
+#: Linear red, green and blue to X, Y and Z of the sRGB standard, relative to its white.
+_XYZ = np.array([[0.412453, 0.357580, 0.180423], [0.212671, 0.715160, 0.072169], [0.019334, 0.119193, 0.950227]]) / np.array([[0.950456], [1.0], [1.088754]])
+
+
+def rgb_to_lab(image: np.ndarray) -> np.ndarray:
+    """Lightness 0..100, a and b, as floating-point numbers."""
+    c = image / 255.0
+    linear = np.where(c > 0.04045, ((c + 0.055) / 1.055) ** 2.4, c / 12.92)
+    t = linear @ _XYZ.T
+    f = np.where(t > (6 / 29) ** 3, np.cbrt(t), t * (29 / 6) ** 2 / 3 + 4 / 29)
+    return np.stack([116 * f[..., 1] - 16, 500 * (f[..., 0] - f[..., 1]), 200 * (f[..., 1] - f[..., 2])], -1)
+
+
+def lab_to_rgb(lab: np.ndarray) -> np.ndarray:
+    y = (lab[..., 0] + 16) / 116
+    f = np.stack([y + lab[..., 1] / 500, y, y - lab[..., 2] / 200], -1)
+    t = np.where(f > 6 / 29, f**3, 3 * (6 / 29) ** 2 * (f - 4 / 29))
+    linear = np.clip(t @ np.linalg.inv(_XYZ).T, 0, 1)
+    c = np.where(linear > 0.0031308, 1.055 * linear ** (1 / 2.4) - 0.055, 12.92 * linear)
+    return np.rint(c * 255).clip(0, 255).astype(np.uint8)
+
+
+def equalised(image: np.ndarray, clip: float, grid: int = 8) -> np.ndarray:
+    """Contrast-limited equalisation of the lightness alone, in 8 bits."""
+    lab = rgb_to_lab(image)
+    lab[..., 0] = clahe(np.rint(lab[..., 0] * 2.55).astype(np.uint8), clip, grid) / 2.55
+    return lab_to_rgb(lab)
+
+
+def variants(image: np.ndarray, rng, augment: bool = True) -> list[tuple[str, np.ndarray]]:  # noqa: ANN001
     """The image and its four colour variants, in a fixed order, drawn from a random.Random."""
     out = [("orig", image)]
-    clip = rng.uniform(1.5, 2.5)
-    light = image.astype(float).mean(-1)
-    lifted = clahe(np.rint(light).astype(np.uint8), clip)
-    out.append(("clahe", np.clip(image + (lifted - light)[..., None], 0, 255).astype(np.uint8)))
+    if not augment:
+        return out
+    # fixed values: the ranges of all draws
+    out.append(("clahe", equalised(image, rng.uniform(1.5, 2.5))))
     out.append(("hsv", shift_hsv(image, rng.randint(-4, 4), rng.randint(-12, 12), rng.randint(-10, 10))))
     b, c = rng.uniform(-0.08, 0.08), rng.uniform(-0.10, 0.10)
     out.append(("brightness_contrast", scale(image, c, b)))

@@ -57,7 +57,7 @@ def _shown(x0: np.ndarray, y0: np.ndarray, boxes: np.ndarray, side: int) -> np.n
     return hit
 
 
-def sample(slide: int, width: int, height: int, boxes: np.ndarray, tissue: Callable, *, per: int = TRIES, every: int = EVERY, seed: int = 42, side: int = SIDE) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+def sample(slide: int, width: int, height: int, boxes: np.ndarray, tissue: Callable, *, per: int = TRIES, every: int = EVERY, seed: int = 42, side: int = SIDE, look: int = 1024) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
     """Counts by reason and the accepted origins of one slide. boxes: rows x1, y1, x2, y2; tissue: of arrays x0 and y0."""
     target = boxes.shape[1]
     radius, seen = _radius(), np.zeros(0, np.int64)
@@ -79,8 +79,15 @@ def sample(slide: int, width: int, height: int, boxes: np.ndarray, tissue: Calla
         hit, fits = np.zeros(len(tries), bool), np.zeros(len(tries), bool)
         hit[new] = _shown(x0[new], y0[new], boxes, side)
         clear = new & ~hit
-        fits[clear] = tissue(x0[clear], y0[clear])
         short = target - count["accepted"]
+        # images are only looked at until there are enough
+        at_, got = np.flatnonzero(clear), 0
+        for i in range(0, len(at_), look):
+            if got >= short:
+                break
+            some = at_[i : i + look]
+            fits[some] = tissue(x0[some], y0[some])
+            got += int(fits[some].sum())
         good = np.flatnonzero(fits)
         end = good[short - 1] + 1 if len(good) >= short else len(tries)
         for name, which in zip(_COUNTS, (fits, ~new, new & hit, clear & ~fits), strict=True):

@@ -20,35 +20,51 @@ def positives(annotations: DataFrame, slides: DataFrame, side: int = SIDE) -> Da
     return t.withColumn("stem", F.format_string("s%d_pos_%06d_x%d_y%d", "slide_id", "ordinal", "x0", "y0"))
 
 
-def visible_boxes(tiles: DataFrame, annotations: DataFrame, side: int = SIDE, grid: bool = True) -> DataFrame:
-    """Boxes of which at least 30 % show in a tile, clipped and normalised.
+def _in_cells(tiles: DataFrame, annotations: DataFrame, side: int) -> tuple[DataFrame, DataFrame, Column]:
+    """Tiles and boxes keyed by cells of the tile's size as well as the slide, so a dense slide is many keys.
 
-    grid: tiles and boxes are keyed by cells of the tile's size as well as the slide, so a
-    dense slide is many keys; a pair counts only in the first cell that both touch.
+    The condition lets a pair count only in the first cell that both touch.
     """
-    t, a = tiles.alias("t"), annotations.alias("a")
-    same = F.col("t.slide_id") == F.col("a.slide_id")
+    cell = lambda v: F.floor(v / side).cast("bigint")
+    t = tiles.withColumn("cx", F.explode(F.sequence(cell(F.col("x0")), cell(F.col("x0") + side - 1)))).withColumn("cy", F.explode(F.sequence(cell(F.col("y0")), cell(F.col("y0") + side - 1)))).alias("t")
+    a = annotations.withColumn("cx", F.explode(F.sequence(cell(F.col("x1")), cell(F.col("x2"))))).withColumn("cy", F.explode(F.sequence(cell(F.col("y1")), cell(F.col("y2"))))).alias("a")
+    first = lambda axis, lo: F.col(f"t.c{axis}") == F.greatest(cell(F.col(f"t.{axis}0")), cell(F.col(f"a.{lo}")))
+    same = (F.col("t.slide_id") == F.col("a.slide_id")) & (F.col("t.cx") == F.col("a.cx")) & (F.col("t.cy") == F.col("a.cy"))
+    return t, a, same & first("x", "x1") & first("y", "y1")
+
+
+def _shown(tiles: DataFrame, annotations: DataFrame, side: int, grid: bool) -> tuple[DataFrame, tuple[Column, ...]]:
+    """Pairs t, a of which at least 30 % of the box shows in the tile, and the part that shows."""
     if grid:
-        cell = lambda v: F.floor(v / side).cast("bigint")
-        t = tiles.withColumn("cx", F.explode(F.sequence(cell(F.col("x0")), cell(F.col("x0") + side - 1)))).withColumn("cy", F.explode(F.sequence(cell(F.col("y0")), cell(F.col("y0") + side - 1)))).alias("t")
-        a = annotations.withColumn("cx", F.explode(F.sequence(cell(F.col("x1")), cell(F.col("x2"))))).withColumn("cy", F.explode(F.sequence(cell(F.col("y1")), cell(F.col("y2"))))).alias("a")
-        first = lambda axis, lo: F.col(f"t.c{axis}") == F.greatest(cell(F.col(f"t.{axis}0")), cell(F.col(f"a.{lo}")))
-        same = same & (F.col("t.cx") == F.col("a.cx")) & (F.col("t.cy") == F.col("a.cy")) & first("x", "x1") & first("y", "y1")
+        t, a, same = _in_cells(tiles, annotations, side)
+    else:
+        t, a = tiles.alias("t"), annotations.alias("a")
+        same = F.col("t.slide_id") == F.col("a.slide_id")
     box = tuple(F.col(f"a.{c}") for c in ("x1", "y1", "x2", "y2"))
     x0, y0 = F.col("t.x0"), F.col("t.y0")
     part = g.clipped(*box, x0, y0, side)
-    j = t.join(a, same & g.overlaps(*box, x0, y0, side) & (g.visible_ratio(box, part) >= g.MIN_VISIBLE))
-    n = g.normalised(part, x0, y0, side)
+    return t.join(a, same & g.overlaps(*box, x0, y0, side) & (g.visible_ratio(box, part) >= g.MIN_VISIBLE)), part
+
+
+def visible_boxes(tiles: DataFrame, annotations: DataFrame, side: int = SIDE, grid: bool = True) -> DataFrame:
+    """Boxes of which at least 30 % show in a tile, clipped and normalised. grid: joined by cells, else by slide alone."""
+    j, part = _shown(tiles, annotations, side, grid)
+    n = g.normalised(part, F.col("t.x0"), F.col("t.y0"), side)
     out = j.select("t.slide_id", "t.ordinal", "a.ann_idx", *[v.alias(k) for k, v in n.items()])
     return out.where((F.col("w") > 0) & (F.col("h") > 0))
 
 
+def box_digests(boxes: DataFrame) -> DataFrame:
+    """One row a tile of ``visible_boxes``: how many, which, and sums of their sizes in millionths of the tile's side."""
+    millionths = lambda c: F.sum(F.floor(F.col(c) * 1000000 + 0.5).cast("bigint")).alias(f"sum_{c}")
+    ids = F.array_join(F.transform(F.sort_array(F.collect_list("ann_idx")), lambda x: x.cast("string")), ",")
+    return boxes.groupBy("slide_id", "ordinal").agg(F.count("*").alias("boxes"), F.md5(ids).alias("ids_md5"), *[millionths(c) for c in ("xc", "yc", "w", "h")])
+
+
 def without_annotation(tiles: DataFrame, annotations: DataFrame, side: int = SIDE, how: str = "left_anti") -> DataFrame:
-    """Tiles in which no annotation shows to 30 % (left_semi: in which one does)."""
-    box = tuple(annotations[c] for c in ("x1", "y1", "x2", "y2"))
-    part = g.clipped(*box, tiles["x0"], tiles["y0"], side)
-    on = (tiles["slide_id"] == annotations["slide_id"]) & g.overlaps(*box, tiles["x0"], tiles["y0"], side) & (g.visible_ratio(box, part) >= g.MIN_VISIBLE)
-    return tiles.join(annotations, on, how)
+    """Tiles in which no annotation shows to 30 % (left_semi: in which one does), joined by cells."""
+    hit = _shown(tiles.select("slide_id", "x0", "y0").distinct(), annotations, side, True)[0].select("t.slide_id", "t.x0", "t.y0").distinct()
+    return tiles.join(hit, ["slide_id", "x0", "y0"], how).select(*tiles.columns)
 
 
 def radii(every: int, tries: int) -> list[float]:
@@ -108,10 +124,18 @@ def train_slides(n: Column, ratio: float) -> Column:
 
 
 def slide_split(slides: DataFrame, ratio: float = 0.75, seed: int = 42) -> DataFrame:
-    """Whole slides to train or val: the first of a seeded order. One row a slide meets in the ranking."""
-    order = Window.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("slide_id").cast("string"))), "slide_id")
-    ranked = slides.select("slide_id", (F.row_number().over(order) - 1).cast("bigint").alias("slide_index"), F.count("*").over(Window.partitionBy()).alias("n"))
-    return ranked.select("slide_id", "slide_index", F.when(F.col("slide_index") < train_slides(F.col("n"), ratio), "train").otherwise("val").alias("split"))
+    """Whole slides to train or val: the first of a seeded order.
+
+    The order is that of hashes; slides are ranked among those of the same first three
+    digits, and what comes before is added from a table of at most 4096 counts.
+    """
+    keyed = slides.select("slide_id", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("slide_id").cast("string"))).alias("h")).withColumn("part", F.substring("h", 1, 3))
+    counts = keyed.groupBy("part").agg(F.count("*").alias("c"))
+    order = Window.partitionBy(F.lit(1)).orderBy("part")
+    before = counts.select("part", (F.sum("c").over(order) - F.col("c")).alias("before"), F.sum("c").over(Window.partitionBy(F.lit(1))).alias("n"))
+    ranked = keyed.withColumn("own", F.row_number().over(Window.partitionBy("part").orderBy("h", "slide_id")) - 1).join(F.broadcast(before), "part")
+    index = (F.col("before") + F.col("own")).cast("bigint")
+    return ranked.select("slide_id", index.alias("slide_index"), F.when(index < train_slides(F.col("n"), ratio), "train").otherwise("val").alias("split"))
 
 
 def dry_run(counts: DataFrame, variants: int = 5, ratio: float = 0.75) -> DataFrame:
@@ -122,6 +146,19 @@ def dry_run(counts: DataFrame, variants: int = 5, ratio: float = 0.75) -> DataFr
     return counts.select("slide_id", n.alias("raw_pos"), n.alias("raw_neg"), total.alias("total"), train.alias("train"), (total - train).alias("val"), F.when(F.col("parse_error"), "failed").when(n == 0, "skipped").otherwise("ok").alias("status"))
 
 
+def dry_run_by_slide(counts: DataFrame, splits: DataFrame, variants: int = 5) -> DataFrame:
+    """The same where whole slides go to one split (rows of ``slide_split``)."""
+    out = dry_run(counts, variants).join(splits.select("slide_id", "split"), "slide_id")
+    side = lambda s: F.when(F.col("split") == s, F.col("total")).otherwise(F.lit(0).cast("bigint"))
+    return out.withColumns({"train": side("train"), "val": side("val")}).drop("split")
+
+
+def written_by_split(tiles: DataFrame, variants: int = 5) -> DataFrame:
+    """One row a slide: images written to each split; tiles have a split, and all variants of a tile go there."""
+    n = lambda s: (F.count_if(F.col("split") == s) * variants).alias(f"written_{s}")
+    return tiles.groupBy("slide_id").agg(n("train"), n("val"))
+
+
 def totals(estimates: DataFrame) -> DataFrame:
     s = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c)
     n = lambda v: F.count_if(F.col("status") == v).alias(f"slides_{v}")

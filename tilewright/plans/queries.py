@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.operators import geojson, labels, pairing, pixels, sampling, tiles
+from tilewright.operators import geojson, labels, pairing, pixels, reporting, sampling, tiles
 from tilewright.sources.views import duckdb_with, view
 
-#: Tries between two radii in the queries of fixed tries; with the first two, what the SQL twins of the sampling queries still stop at.
-TARGET, TRIES, EVERY = 20, 400, 50
+#: Tries between two radii in the queries of fixed tries.
+EVERY = 50
+
 
 def _tissue(x0, y0):  # noqa: ANN001, ANN202
     """Stands in for the tissue test, as the driver's tables have no images."""
@@ -24,10 +25,6 @@ def _pos(s: SparkSession, d: str) -> DataFrame:
     return tiles.positives(_ann(s, d), view(s, d, "slides"))
 
 
-def annotation_bbox(s: SparkSession, d: str) -> DataFrame:
-    return _ann(s, d).where((F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1"))).groupBy("slide_id").agg(F.count("*").alias("n"), F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"))
-
-
 def geojson_explode_rings(s: SparkSession, d: str) -> DataFrame:
     return geojson.annotations(view(s, d, "geojson_docs"))
 
@@ -44,12 +41,13 @@ def positive_tiles(s: SparkSession, d: str) -> DataFrame:
     return _pos(s, d)
 
 
-def visible_boxes(s: SparkSession, d: str) -> DataFrame:
-    return tiles.visible_boxes(_pos(s, d), _ann(s, d), grid=False)
+def _visible(s: SparkSession, d: str) -> DataFrame:
+    return tiles.visible_boxes(_pos(s, d), _ann(s, d))
 
 
 def visible_boxes_grid(s: SparkSession, d: str) -> DataFrame:
-    return tiles.visible_boxes(_pos(s, d), _ann(s, d))
+    """The boxes visible in every positive tile, one row a tile: how many, which, and where in sum."""
+    return tiles.box_digests(_visible(s, d))
 
 
 def _sampled(s: SparkSession, d: str) -> DataFrame:
@@ -97,15 +95,69 @@ def discovery_diagnostics(s: SparkSession, d: str) -> DataFrame:
 
 
 def label_lines(s: SparkSession, d: str) -> DataFrame:
-    return labels.label_texts(visible_boxes_grid(s, d))
+    return labels.label_texts(_visible(s, d))
 
 
 def label_parse(s: SparkSession, d: str) -> DataFrame:
-    return labels.parsed(view(s, d, "label_files"))
+    return labels.parsed(view(s, d, "label_texts"))
 
 
 def label_integrity(s: SparkSession, d: str) -> DataFrame:
-    return labels.integrity(view(s, d, "label_files"))
+    return labels.integrity(view(s, d, "image_files"), view(s, d, "label_texts"))
+
+
+def image_label_pairs(s: SparkSession, d: str) -> DataFrame:
+    return labels.paired(view(s, d, "image_files"), view(s, d, "label_texts"))
+
+
+def label_boxes_pixels(s: SparkSession, d: str) -> DataFrame:
+    boxes = labels.parsed(view(s, d, "label_texts"))
+    return labels.pixel_corners(boxes, F.lit(1024).cast("bigint"), F.lit(768).cast("bigint")).select("split", "stem", "line_no", "px1", "py1", "px2", "py2")
+
+
+def seg_points_pixels(s: SparkSession, d: str) -> DataFrame:
+    lines = labels.segments(view(s, d, "seg_files")).where(F.col("error").isNull())
+    return lines.select("stem", "line_no", "cls", F.posexplode(labels.pixel_points(F.col("points"), 1024)).alias("i", "p")).select("stem", "line_no", "cls", "i", "p.x", "p.y")
+
+
+def seg_file_status(s: SparkSession, d: str) -> DataFrame:
+    return labels.segment_files(view(s, d, "seg_files"))
+
+
+def seg_file_totals(s: SparkSession, d: str) -> DataFrame:
+    return labels.segment_totals(seg_file_status(s, d))
+
+
+def base_images(s: SparkSession, d: str) -> DataFrame:
+    return labels.base_images(view(s, d, "seg_files"), view(s, d, "base_images"))
+
+
+def probe_pairs(s: SparkSession, d: str) -> DataFrame:
+    return pairing.probed(view(s, d, "files"))
+
+
+def discovery_counters(s: SparkSession, d: str) -> DataFrame:
+    return pairing.diagnostics(view(s, d, "files"), None, geojson_validate(s, d))
+
+
+def geojson_count_totals(s: SparkSession, d: str) -> DataFrame:
+    return geojson.count_totals(geojson_count(s, d))
+
+
+def dry_run_wsi(s: SparkSession, d: str) -> DataFrame:
+    return tiles.dry_run_by_slide(geojson_validate(s, d), slide_split_wsi(s, d))
+
+
+def build_totals(s: SparkSession, d: str) -> DataFrame:
+    return reporting.totals(view(s, d, "slide_results"))
+
+
+def slide_status_text(s: SparkSession, d: str) -> DataFrame:
+    return reporting.with_status_text(view(s, d, "slide_results")).select("slide_stem", "status_text", "skip_reason_text")
+
+
+def written_by_split(s: SparkSession, d: str) -> DataFrame:
+    return tiles.written_by_split(tiles.tile_split(_pos(s, d)), len(pixels.VARIANTS))
 
 
 def seg_label_validate(s: SparkSession, d: str) -> DataFrame:
@@ -121,7 +173,7 @@ def first_n_labels(s: SparkSession, d: str) -> DataFrame:
 
 
 def stem_difference(s: SparkSession, d: str) -> DataFrame:
-    return labels.stem_difference(view(s, d, "label_files"))
+    return labels.stem_difference(view(s, d, "image_files"), view(s, d, "label_texts"))
 
 
 def samples_union_variants(s: SparkSession, d: str) -> DataFrame:
@@ -143,13 +195,16 @@ def augment_brightness_contrast(s: SparkSession, d: str) -> DataFrame:
 
 
 def augment_hsv(s: SparkSession, d: str) -> DataFrame:
-    """Saturation and value shifted by whole steps and clipped."""
-    rgb = [F.col(c) for c in "rgb"]
-    clip = lambda v: F.greatest(F.lit(0), F.least(F.lit(255), v)).cast("int")
-    return view(s, d, "pixels").select("tile_id", "px", clip(pixels.saturation(*rgb) + 9).alias("s"), clip(pixels.value(*rgb) - 7).alias("v"))
+    """Hue, saturation and value shifted by whole steps, clipped, and back."""
+    made = pixels.shifted_hsv(*[F.col(c) for c in "rgb"], 5, 9, -7)
+    return view(s, d, "pixels").select("tile_id", "px", *[v.alias(c) for v, c in zip(made, "rgb", strict=True)])
 
 
-QUERIES = {f.__name__: f for f in (annotation_bbox, geojson_explode_rings, geojson_validate, geojson_count, positive_tiles, visible_boxes, visible_boxes_grid, tile_has_annotation, clean_tiles, negative_tiles, negative_reject_stats, tile_split_patch, slide_split_wsi, dry_run_estimate, dataset_totals, pair_by_stem, discovery_diagnostics, label_lines, label_parse, label_integrity, seg_label_validate, sample_per_split, first_n_labels, stem_difference, samples_union_variants, tissue_ratio, augment_gamma, augment_brightness_contrast, augment_hsv)}
+_ALL = (geojson_explode_rings, geojson_validate, geojson_count, geojson_count_totals, positive_tiles, visible_boxes_grid, tile_has_annotation, clean_tiles, negative_tiles, negative_reject_stats, samples_union_variants)
+_ALL += (tile_split_patch, slide_split_wsi, written_by_split, dry_run_estimate, dry_run_wsi, dataset_totals, build_totals, slide_status_text, pair_by_stem, probe_pairs, discovery_diagnostics, discovery_counters)
+_ALL += (label_lines, label_parse, label_integrity, image_label_pairs, label_boxes_pixels, seg_label_validate, seg_points_pixels, seg_file_status, seg_file_totals, base_images, sample_per_split, first_n_labels, stem_difference)
+_ALL += (tissue_ratio, augment_gamma, augment_brightness_contrast, augment_hsv)
+QUERIES = {f.__name__: f for f in _ALL}
 
 # ---- DuckDB ----
 
@@ -179,13 +234,6 @@ def _cands(tries: int) -> str:
  FROM (SELECT *, least(width, height) * {radii}[try // {EVERY} + 1] AS half FROM slides, (SELECT unnest(range({tries})) AS try) n) q)"""
 
 
-def _tried_sql() -> str:
-    return f"""{_cands(TRIES)}, thin AS (SELECT * FROM annotations WHERE ann_idx % 20 = 0),
-flagged AS (SELECT t.*, row_number() OVER (PARTITION BY slide_id, x0, y0 ORDER BY try) > 1 AS again, EXISTS (SELECT 1 FROM thin a WHERE a.slide_id = t.slide_id AND {_seen("a")}) AS hit FROM cands t),
-reasoned AS (SELECT *, CASE WHEN again THEN 'duplicate' WHEN hit THEN 'annotation' WHEN (x0 * 7 + y0 * 13) % 10 >= 8 THEN 'low_tissue' ELSE 'accepted' END AS reason FROM flagged),
-tried AS (SELECT * FROM (SELECT *, coalesce(sum(CASE WHEN reason = 'accepted' THEN 1 ELSE 0 END) OVER (PARTITION BY slide_id ORDER BY try ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS done FROM reasoned) z WHERE done < {TARGET})"""
-
-
 _SAT = "CASE WHEN greatest(r, g, b) = 0 THEN 0 ELSE (510 * (greatest(r, g, b) - least(r, g, b)) + greatest(r, g, b)) // (2 * greatest(r, g, b)) END"
 
 _PARSED = """docs AS (SELECT slide_id, CASE WHEN json_valid(doc) THEN doc::JSON END AS j FROM geojson_docs),
@@ -218,22 +266,23 @@ boxes AS (SELECT split, stem, line_no, CAST(CAST(p[1] AS DOUBLE) AS BIGINT) AS c
  FROM words WHERE len(p) = 5 AND len(list_filter(p, lambda x: TRY_CAST(x AS DOUBLE) IS NULL)) = 0),
 ranged AS (SELECT *, xc BETWEEN 0 AND 1 AND yc BETWEEN 0 AND 1 AND w > 0 AND w <= 1 AND h > 0 AND h <= 1 AS in_range FROM boxes)"""
 
+_SEG_LINES = """seg_cut AS (SELECT stem, unnest(range(len(ls))) + 1 AS line_no, unnest(ls) AS line FROM (SELECT stem, string_split(trim(text, chr(10) || ' '), chr(10)) AS ls FROM seg_files WHERE trim(text, chr(10) || ' ') <> '') q),
+seg_words AS (SELECT stem, line_no, string_split_regex(trim(line), '\\s+') AS p FROM seg_cut), seg_values AS (SELECT *, list_transform(p[2:], lambda x: TRY_CAST(x AS FLOAT)) AS vs FROM seg_words),
+judged AS (SELECT *, CASE WHEN len(p) < 7 THEN 'too_few' WHEN len(p) % 2 = 0 THEN 'odd' WHEN len(list_filter(vs, lambda x: x IS NULL OR NOT isfinite(x))) > 0 THEN 'not_finite' WHEN len(list_filter(vs, lambda x: x < 0 OR x > 1)) > 0 THEN 'out_of_range' END AS error FROM seg_values)"""
+
+_SEG_STATUS = """file_status AS (SELECT f.stem, CASE WHEN count(j.error) > 0 THEN 0 ELSE count(j.stem) END AS segments, min_by('line ' || j.line_no || ': ' || j.error, j.line_no) FILTER (j.error IS NOT NULL) AS error FROM seg_files f LEFT JOIN judged j ON j.stem = f.stem GROUP BY f.stem)"""
+
 _A, _G, _L = duckdb_with("annotations"), duckdb_with("geojson_docs"), duckdb_with("label_files")
-_SHOWN = f"{_A}, {_POS}, {_VISIBLE} SELECT * FROM vis WHERE w > 0 AND h > 0"
 _STEM = lambda kind: f"printf('s%d_{kind}_%06d_x%d_y%d', slide_id, ordinal, x0, y0)"
 
 ORACLE_SQL = {
-    "annotation_bbox": f"{_A} SELECT slide_id, count(*) AS n, min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2 FROM annotations WHERE x2 > x1 AND y2 > y1 GROUP BY slide_id",
     "geojson_explode_rings": f"{_G}, {_PARSED}, numbered AS (SELECT *, row_number() OVER (PARTITION BY slide_id ORDER BY i, p) - 1 AS n FROM rings WHERE valid) SELECT slide_id, n AS ann_idx, coalesce(nullif(f->>'id', ''), f->'properties'->>'id', 'ann_' || n) || CASE WHEN raw > 1 THEN '_' || (p + 1) ELSE '' END AS feature_id, x1, y1, x2, y2 FROM numbered",
     "geojson_validate": f"{_G}, {_VALID} SELECT slide_id, annotation_count, skipped_features, parse_error FROM checked",
     "geojson_count": f"{_G} SELECT slide_id, CASE WHEN json_valid(doc) THEN json_array_length(doc::JSON, '$.features')::BIGINT ELSE 0 END AS count, json_valid(doc) AS ok FROM geojson_docs",
     "positive_tiles": f"{_A}, {_POS} SELECT slide_id, ordinal, x0, y0, {_STEM('pos')} AS stem FROM pos",
-    "visible_boxes": _SHOWN,
-    "visible_boxes_grid": _SHOWN,
+    "visible_boxes_grid": f"{_A}, {_POS}, {_VISIBLE} SELECT slide_id, ordinal, count(*) AS boxes, md5(string_agg(ann_idx::VARCHAR, ',' ORDER BY ann_idx)) AS ids_md5, " + ", ".join(f"sum(CAST(floor({c} * 1000000 + 0.5::DOUBLE) AS BIGINT))::BIGINT AS sum_{c}" for c in ("xc", "yc", "w", "h")) + " FROM vis WHERE w > 0 AND h > 0 GROUP BY slide_id, ordinal",
     "tile_has_annotation": f"{_A}, {_cands(100)} SELECT * FROM cands t WHERE EXISTS (SELECT 1 FROM annotations a WHERE a.slide_id = t.slide_id AND {_seen('a')})",
     "clean_tiles": f"{_A}, {_cands(100)} SELECT * FROM cands t WHERE NOT EXISTS (SELECT 1 FROM annotations a WHERE a.slide_id = t.slide_id AND {_seen('a')})",
-    "negative_tiles": f"{_A}, {_tried_sql()} SELECT slide_id, ordinal, x0, y0, {_STEM('neg')} AS stem FROM (SELECT slide_id, done + 1 AS ordinal, x0, y0 FROM tried WHERE reason = 'accepted') q",
-    "negative_reject_stats": f"{_A}, {_tried_sql()} SELECT slide_id, count(*) FILTER (reason = 'accepted') AS accepted, count(*) FILTER (reason = 'duplicate') AS duplicate, count(*) FILTER (reason = 'annotation') AS annotation, count(*) FILTER (reason = 'low_tissue') AS low_tissue, {TARGET} - count(*) FILTER (reason = 'accepted') AS failed_neg, {TARGET} - count(*) FILTER (reason = 'accepted') AS try_limit FROM tried GROUP BY slide_id",
     "tile_split_patch": f"{_A}, {_POS} SELECT slide_id, ordinal, CASE WHEN CAST('0x' || substr(md5('42|' || {_STEM('pos')} || '|split'), 1, 8) AS BIGINT) / 4294967296.0 < 0.75 THEN 'train' ELSE 'val' END AS split FROM pos",
     "slide_split_wsi": f"{duckdb_with('slides')}, ranked AS (SELECT slide_id, row_number() OVER (ORDER BY md5('42|' || slide_id), slide_id) - 1 AS slide_index, count(*) OVER () AS n FROM slides) SELECT slide_id, slide_index, CASE WHEN slide_index < CASE WHEN n <= 1 THEN n ELSE greatest(1, least(n - 1, round_even(n * 0.75::DOUBLE, 0)::BIGINT)) END THEN 'train' ELSE 'val' END AS split FROM ranked",
     "dry_run_estimate": f"{_G}, {_DRY} SELECT * FROM dry",
@@ -251,9 +300,24 @@ SELECT line_id, CASE WHEN n < 7 THEN 'too_few' WHEN n % 2 = 0 THEN 'odd' WHEN le
     "sample_per_split": f"{_L}, q AS (SELECT split, CASE WHEN contains(stem, '_neg_') THEN 'neg' ELSE 'pos' END AS kind, stem FROM label_files), z AS (SELECT *, row_number() OVER (PARTITION BY split, kind ORDER BY md5('42|' || stem), stem) AS rank FROM q) SELECT * FROM z WHERE rank <= 100",
     "first_n_labels": f"{_L} SELECT stem FROM label_files WHERE has_label ORDER BY stem LIMIT 10",
     "stem_difference": f"{_L} SELECT split, stem, 'label' AS missing FROM label_files WHERE has_image AND NOT has_label UNION ALL SELECT split, stem, 'image' AS missing FROM label_files WHERE has_label AND NOT has_image",
-    "samples_union_variants": f"{_A}, {_POS}, {_tried_sql()}, neg AS (SELECT slide_id, done + 1 AS ordinal, x0, y0 FROM tried WHERE reason = 'accepted'), both_kinds AS (SELECT slide_id, {_STEM('pos')} AS stem FROM pos UNION ALL SELECT slide_id, {_STEM('neg')} AS stem FROM neg) SELECT slide_id, stem || '_' || v AS image FROM both_kinds, (SELECT unnest(['orig', 'clahe', 'hsv', 'brightness_contrast', 'gamma']) AS v) n",
     "tissue_ratio": f"{duckdb_with('pixels')} SELECT tile_id, count(*) FILTER ({_SAT} > 12 AND greatest(r, g, b) < 245) AS tissue, count(*) AS n, count(*) FILTER ({_SAT} > 12 AND greatest(r, g, b) < 245) / count(*) AS ratio FROM pixels GROUP BY tile_id",
     "augment_gamma": f"{duckdb_with('pixels')} SELECT tile_id, px, " + ", ".join(f"CAST(floor(pow({c} / 255.0::DOUBLE, 1.1::DOUBLE) * 255) AS INTEGER) AS {c}" for c in "rgb") + " FROM pixels",
     "augment_brightness_contrast": f"{duckdb_with('pixels')} SELECT tile_id, px, " + ", ".join(f"CAST(floor(greatest(0, least(255, {c} * 1.0625::DOUBLE + 8))) AS INTEGER) AS {c}" for c in "rgb") + " FROM pixels",
-    "augment_hsv": f"{duckdb_with('pixels')} SELECT tile_id, px, CAST(greatest(0, least(255, {_SAT} + 9)) AS INTEGER) AS s, CAST(greatest(0, least(255, greatest(r, g, b) - 7)) AS INTEGER) AS v FROM pixels",
+    "augment_hsv": f"""{duckdb_with('pixels')}, a AS (SELECT tile_id, px, r, g, b, greatest(r, g, b) AS v, greatest(r, g, b) - least(r, g, b) AS d, {_SAT} AS s FROM pixels),
+h0 AS (SELECT *, CASE WHEN d = 0 THEN 0.0::DOUBLE WHEN v = r THEN 60.0::DOUBLE * (g - b) / d WHEN v = g THEN 120 + 60.0::DOUBLE * (b - r) / d ELSE 240 + 60.0::DOUBLE * (r - g) / d END AS deg FROM a),
+h1 AS (SELECT tile_id, px, greatest(0, least(179, CAST(round_even((CASE WHEN deg < 0 THEN deg + 360 ELSE deg END) / 2, 0) AS INTEGER) % 180 + 5))::DOUBLE / 30 AS h, greatest(0, least(255, s + 9))::DOUBLE / 255 AS s, greatest(0, least(255, v - 7))::DOUBLE AS v FROM h0)
+SELECT tile_id, px, """ + ", ".join(f"CAST(round_even(v - v * s * greatest(0.0::DOUBLE, least(({n} + h) % 6, 4 - ({n} + h) % 6, 1.0::DOUBLE)), 0) AS INTEGER) AS {c}" for n, c in ((5, "r"), (3, "g"), (1, "b"))) + " FROM h1",
+    "geojson_count_totals": f"{_G}, c AS (SELECT CASE WHEN json_valid(doc) THEN json_array_length(doc::JSON, '$.features')::BIGINT ELSE 0 END AS count, json_valid(doc) AS ok FROM geojson_docs) SELECT coalesce(sum(count) FILTER (ok), 0)::BIGINT AS total, count(*) FILTER (ok) AS parsed, count(*) FILTER (NOT ok) AS failed FROM c",
+    "written_by_split": f"{_A}, {_POS}, cut AS (SELECT slide_id, CAST('0x' || substr(md5('42|' || {_STEM('pos')} || '|split'), 1, 8) AS BIGINT) / 4294967296.0 < 0.75 AS train FROM pos) SELECT slide_id, 5 * count(*) FILTER (train) AS written_train, 5 * count(*) FILTER (NOT train) AS written_val FROM cut GROUP BY slide_id",
+    "dry_run_wsi": f"{_G}, {_DRY}, ranked AS (SELECT slide_id, row_number() OVER (ORDER BY md5('42|' || slide_id), slide_id) - 1 AS i, count(*) OVER () AS n FROM slides), side AS (SELECT slide_id, i < CASE WHEN n <= 1 THEN n ELSE greatest(1, least(n - 1, round_even(n * 0.75::DOUBLE, 0)::BIGINT)) END AS t FROM ranked) SELECT slide_id, raw_pos, raw_neg, total, CASE WHEN t THEN total ELSE 0 END AS train, CASE WHEN t THEN 0 ELSE total END AS val, status FROM dry JOIN side USING (slide_id)",
+    "build_totals": f"{duckdb_with('slide_results')} SELECT " + ", ".join(f"coalesce(sum({c}), 0)::BIGINT AS {c}" for c in reporting.COUNTERS) + ", count(*) FILTER (status = 'ok') AS slides_ok, count(*) FILTER (status = 'skipped') AS slides_skipped, count(*) FILTER (status NOT IN ('ok', 'skipped')) AS slides_failed FROM slide_results",
+    "slide_status_text": f"{duckdb_with('slide_results')} SELECT slide_stem, CASE status WHEN 'ok' THEN '{reporting.STATUS_TEXT['ok']}' WHEN 'skipped' THEN '{reporting.STATUS_TEXT['skipped']}' WHEN 'failed' THEN '{reporting.STATUS_TEXT['failed']}' ELSE status END AS status_text, CASE WHEN skip_reason = 'empty_annotations' THEN '{reporting.SKIP_TEXT['empty_annotations']}' END AS skip_reason_text FROM slide_results",
+    "probe_pairs": f"{duckdb_with('files')}, {_PAIRED} SELECT w.path AS wsi_path, (list(g.path ORDER BY g.ext, g.stem <> w.stem) FILTER (g.path IS NOT NULL))[1] AS gt_path FROM wsi w LEFT JOIN gt g ON g.dir = w.dir AND g.ext IN ('.geojson', '.json') AND (g.stem = w.stem OR (w.stem LIKE '%.ome' AND g.stem = left(w.stem, length(w.stem) - 4))) GROUP BY w.path",
+    "discovery_counters": f"{duckdb_with('files', 'geojson_docs')}, {_PAIRED}, {_VALID} SELECT (SELECT count(*) FROM files) AS total_files, count(*) AS slides, count(gt_path) AS matched, count(*) - count(gt_path) AS unmatched, count(*) FILTER (ambiguous) AS ambiguous, (SELECT count(*) FROM gt) AS annotation_files, (SELECT count(*) FROM gt WHERE path NOT IN (SELECT gt_path FROM paired WHERE gt_path IS NOT NULL)) AS orphans, (SELECT count(*) FILTER (parse_error) FROM checked) AS invalid_annotations, (SELECT count(*) FILTER (NOT parse_error AND annotation_count = 0) FROM checked) AS empty_annotations, (SELECT sum(skipped_features)::BIGINT FROM checked) AS skipped_features FROM paired",
+    "image_label_pairs": f"{_L} SELECT split, stem, CASE WHEN has_label THEN text END AS text FROM label_files WHERE has_image AND (has_label OR contains(stem, '_neg_'))",
+    "label_boxes_pixels": f"{_L}, {_LINES} SELECT split, stem, line_no, " + ", ".join(f"greatest(0, least({e} - 1, CAST(round_even(({a}c {o} {b} / 2) * {e}, 0) AS BIGINT))) AS p{a}{k}" for k, o in ((1, "-"), (2, "+")) for a, b, e in (("x", "w", 1024), ("y", "h", 768))) + " FROM ranged",
+    "seg_points_pixels": f"{duckdb_with('seg_files')}, {_SEG_LINES} SELECT stem, line_no, TRY_CAST(TRY_CAST(p[1] AS DOUBLE) AS BIGINT) AS cls, i, " + ", ".join(f"greatest(0, least(1023, CAST(round_even((vs[2 * i + {k}] * 1024::FLOAT)::DOUBLE, 0) AS INTEGER))) AS {c}" for k, c in ((1, "x"), (2, "y"))) + " FROM (SELECT *, unnest(range(len(vs) // 2)) AS i FROM judged WHERE error IS NULL) q",
+    "seg_file_status": f"{duckdb_with('seg_files')}, {_SEG_LINES}, {_SEG_STATUS} SELECT stem, segments, error FROM file_status",
+    "seg_file_totals": f"{duckdb_with('seg_files')}, {_SEG_LINES}, {_SEG_STATUS} SELECT count(*) AS files, count(*) FILTER (error IS NULL AND segments = 0) AS empty_files, count(*) FILTER (error IS NOT NULL) AS bad_files FROM file_status",
+    "base_images": f"{duckdb_with('seg_files', 'base_images')}, f AS (SELECT path, regexp_extract(path, '([^/]*)\\.[^.]*$', 1) AS stem, list_position(['.jpg', '.jpeg', '.png'], regexp_extract(path, '(\\.[^.]*)$', 1)) AS rank FROM base_images) SELECT s.stem, (list(f.path ORDER BY f.rank) FILTER (f.path IS NOT NULL))[1] AS path FROM seg_files s LEFT JOIN f ON f.stem = s.stem GROUP BY s.stem",
 }

@@ -1,6 +1,7 @@
 """Input views derived from the driver's tables, as SQL that Spark and DuckDB both read.
 
-Only the aggregation of text differs between the two; ``dialect`` picks it.
+Only the aggregation of text differs between the two; ``dialect`` picks it. Spark reads
+the tables by their paths, so no name of a user's own view is touched.
 """
 
 from __future__ import annotations
@@ -31,9 +32,6 @@ _FEATURES = """SELECT slide_id, ann_idx, CASE ann_idx % 8
 FROM (SELECT slide_id, ann_idx, '[[' || a || ',' || b || '],[' || c || ',' || b || '],[' || c || ',' || d || '],[' || a || ',' || b || ']]' AS ring
  FROM (SELECT slide_id, ann_idx, CAST(x1 AS BIGINT) AS a, CAST(y1 AS BIGINT) AS b, CAST(x2 AS BIGINT) AS c, CAST(y2 AS BIGINT) AS d FROM annotations WHERE slide_id % 20 <> 19) q) r"""
 
-#: Spark's documents hold all annotations of a slide; the DuckDB twins, which are left as they were, still stop at the 24th.
-_LISTED = {"spark": _FEATURES, "duckdb": _FEATURES.replace("WHERE slide_id", "WHERE ann_idx < 24 AND slide_id")}
-
 _JOINED = {"spark": "array_join(transform(sort_array(collect_list(struct(ann_idx, f))), x -> x.f), ',')", "duckdb": "string_agg(f, ',' ORDER BY ann_idx)"}
 
 _FILES = """SELECT 'd' || (k % 7) || '/case_' || k || CASE k % 6 WHEN 0 THEN '.svs' WHEN 1 THEN '.ome.tif' WHEN 2 THEN '.NDPI' WHEN 3 THEN '.tiff' WHEN 4 THEN '.mrxs' ELSE '.txt' END AS path FROM ks WHERE k % 5 <> 4
@@ -43,15 +41,30 @@ UNION ALL SELECT 'd' || (k % 7) || '/case_' || k || '.ome.json' AS path FROM ks
 _LABELS = """SELECT slide_id, CASE WHEN ann_idx % 5 = 0 THEN 'val' ELSE 'train' END AS split,
  's' || slide_id || CASE WHEN ann_idx % 3 = 0 THEN '_neg_' ELSE '_pos_' END || ann_idx AS stem,
  ann_idx % 13 <> 0 AS has_image, ann_idx % 11 <> 0 AS has_label,
- CASE WHEN ann_idx % 3 = 0 THEN '' WHEN ann_idx % 29 = 1 THEN '0 1.2 0.5 0.25 0.25' WHEN ann_idx % 31 = 1 THEN 'bad line' ELSE '0 0.5 0.5 0.25 0.' || (1 + ann_idx % 9) END AS text FROM annotations"""
+ CASE WHEN ann_idx % 3 = 0 THEN '' WHEN ann_idx % 29 = 1 THEN '0 0.4 1.7 0.3 0.15' WHEN ann_idx % 31 = 1 THEN 'bad line' ELSE '0 0.5 0.5 0.25 0.' || (1 + ann_idx % 9) END AS text FROM annotations"""
+
+_SEG = """SELECT CAST(p_partkey AS BIGINT) AS line_id, CASE p_partkey % 6 WHEN 0 THEN '1 0.15 0.25 0.65 0.35 0.45 0.85' WHEN 1 THEN '1 0.15 0.25 0.65 0.35'
+ WHEN 2 THEN '1 0.15 0.25 0.65 0.35 0.45 0.85 0.55' WHEN 3 THEN '1 0.15 0.25 nan 0.35 0.45 0.85' WHEN 4 THEN '1 0.15 0.25 1.75 0.35 0.45 0.85' ELSE '2 0 0 1 0 1 1 0 1' END AS line FROM part"""
+
+_IMAGES = "SELECT split, stem FROM label_files WHERE has_image"
+_LABEL_TEXTS = "SELECT split, stem, text FROM label_files WHERE has_label"
+
+#: Segmentation files of three lines each, some empty, and base images beside some of them, in up to three formats.
+_SEG_FILES = """SELECT 'f' || f AS stem, CASE WHEN f % 7 = 0 THEN '' ELSE a || chr(10) || CASE WHEN f % 5 = 0 THEN b ELSE a END || chr(10) || a END AS text
+FROM (SELECT line_id AS f, '3 0.05 0.1 0.95 0.2 0.5 0.' || (1 + line_id % 9) AS a, line AS b FROM seg_lines) q"""
+_BASES = """SELECT 'im/f' || line_id || '.png' AS path FROM seg_lines WHERE line_id % 3 = 0
+UNION ALL SELECT 'im/f' || line_id || '.jpeg' AS path FROM seg_lines WHERE line_id % 4 = 0
+UNION ALL SELECT 'im/f' || line_id || '.jpg' AS path FROM seg_lines WHERE line_id % 6 = 0"""
 
-_SEG = """SELECT CAST(p_partkey AS BIGINT) AS line_id, CASE p_partkey % 6 WHEN 0 THEN '1 0.1 0.2 0.3 0.2 0.1 0.4' WHEN 1 THEN '1 0.1 0.2 0.3 0.2'
- WHEN 2 THEN '1 0.1 0.2 0.3 0.2 0.1 0.4 0.5' WHEN 3 THEN '1 0.1 0.2 nan 0.2 0.1 0.4' WHEN 4 THEN '1 0.1 0.2 1.5 0.2 0.1 0.4' ELSE '2 0 0 1 0 1 1 0 1' END AS line FROM part"""
+#: What slides of a build may have come to.
+_RESULTS = """SELECT 's' || slide_id AS slide_stem, CASE WHEN slide_id % 9 = 4 THEN 'failed' WHEN slide_id % 9 = 5 THEN 'skipped' ELSE 'ok' END AS status,
+ CASE WHEN slide_id % 9 = 5 THEN 'empty_annotations' ELSE '' END AS skip_reason, width % 700 AS raw_pos, width % 650 AS raw_neg, width % 3000 AS written_train, height % 900 AS written_val,
+ width % 50 AS failed_neg, height % 40 AS neg_reject_duplicate, width % 1300 AS neg_reject_annotation, CASE WHEN slide_id % 4 <> 0 THEN height % 70 END AS neg_reject_low_tissue, width % 50 AS neg_reject_try_limit FROM slides"""
 
 _PIXELS = """SELECT CAST(floor(p_partkey / 64) AS BIGINT) AS tile_id, CAST(p_partkey AS BIGINT) AS px, CAST((p_partkey * 37) % 256 AS INT) AS r,
  CAST((p_partkey * 91 + p_partkey % 5) % 256 AS INT) AS g, CAST((p_partkey * 53 + 7) % 256 AS INT) AS b FROM part"""
 
-_NEEDS = {"slides": ("supplier",), "annotations": ("lineitem", "supplier"), "geojson_docs": ("lineitem", "supplier"), "files": ("orders",), "label_files": ("lineitem", "supplier"), "seg_lines": ("part",), "pixels": ("part",)}
+_NEEDS = {"slides": ("supplier",), "annotations": ("lineitem", "supplier"), "geojson_docs": ("lineitem", "supplier"), "files": ("orders",), "label_files": ("lineitem", "supplier"), "seg_lines": ("part",), "pixels": ("part",), "image_files": ("lineitem", "supplier"), "label_texts": ("lineitem", "supplier"), "seg_files": ("part",), "base_images": ("part",), "slide_results": ("supplier",)}
 
 
 def ctes(name: str, dialect: str) -> list[tuple[str, str]]:
@@ -62,10 +75,15 @@ UNION ALL SELECT slide_id, CASE WHEN slide_id % 40 = 19 THEN 'not json' ELSE '{{
     return {
         "slides": base[:1],
         "annotations": base,
-        "geojson_docs": [*base, ("features", _LISTED[dialect]), ("geojson_docs", docs)],
+        "geojson_docs": [*base, ("features", _FEATURES), ("geojson_docs", docs)],
         "files": [("ks", "SELECT DISTINCT CAST(o_orderkey AS BIGINT) AS k FROM orders"), ("files", _FILES)],
         "label_files": [*base, ("label_files", _LABELS)],
+        "image_files": [*base, ("label_files", _LABELS), ("image_files", _IMAGES)],
+        "label_texts": [*base, ("label_files", _LABELS), ("label_texts", _LABEL_TEXTS)],
         "seg_lines": [("seg_lines", _SEG)],
+        "seg_files": [("seg_lines", _SEG), ("seg_files", _SEG_FILES)],
+        "base_images": [("seg_lines", _SEG), ("base_images", _BASES)],
+        "slide_results": [*base[:1], ("slide_results", _RESULTS)],
         "pixels": [("pixels", _PIXELS)],
     }[name]
 
@@ -79,12 +97,7 @@ def duckdb_with(*names: str) -> str:
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the derived views. Tables are registered under names of this folder only for the time of parsing."""
-    for t in _NEEDS[name]:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-    parts = ctes(name, "spark")
-    head = ",\n".join(f"{k} AS ({v})" for k, v in parts)
-    out = spark.sql(f"WITH {head}\nSELECT * FROM {name}")
-    for t in _NEEDS[name]:
-        spark.catalog.dropTempView(t)
-    return out
+    """One of the derived views."""
+    tables = [(t, f"SELECT * FROM parquet.`{sf_dir}/{t}.parquet`") for t in _NEEDS[name]]
+    head = ",\n".join(f"{k} AS ({v})" for k, v in [*tables, *ctes(name, "spark")])
+    return spark.sql(f"WITH {head}\nSELECT * FROM {name}")
