@@ -81,16 +81,22 @@ def _one(values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
 def _block(t: pa.Table, bid: int) -> pa.RecordBatch:
     held = np.asarray(t.column(1).combine_chunks().fill_null(False))
     data, off = text_bytes(t.column(2))
-    hashes, counts, letters = [], [], []
+    # distinct words slice by slice and then of all slices, so no array of 64-bit hashes of all words is sorted
+    distinct, codes, counts, letters, base = [], [], [], [], 0
     for i, j in slices(np.diff(off)):
         part = data[off[i] : off[j]]
         part = np.where((part >= 65) & (part <= 90), part + 32, part).astype(np.uint8)
         h, n, starts, ends = hash_words(part, off[i : j + 1] - off[i])
-        hashes.append(np.maximum(h, 1))
+        u, at, code = np.unique(np.maximum(h, 1), return_index=True, return_inverse=True)
+        distinct.append(u)
+        codes.append((code + base).astype(np.int32))
         counts.append(n)
-        letters.append((hash_spans(part, starts, np.minimum(ends, starts + 3), seed=9) >> np.uint64(34)).astype(np.int32))
-    h, n, letters = (np.concatenate(x) if x else np.zeros(0, k) for x, k in ((hashes, np.uint64), (counts, np.int64), (letters, np.int32)))
-    unique, first, code, often = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+        letters.append((hash_spans(part, starts[at], np.minimum(ends[at], starts[at] + 3), seed=9) >> np.uint64(34)).astype(np.int32))
+        base += len(u)
+    u, codes, n, letters = (np.concatenate(x) if x else np.zeros(0, k) for x, k in ((distinct, np.uint64), (codes, np.int32), (counts, np.int64), (letters, np.int32)))
+    unique, first, back = np.unique(u, return_index=True, return_inverse=True)
+    code = back.astype(np.int32)[codes]
+    often = np.bincount(code, minlength=len(unique))
     # words are numbered by how often the block has them, which packs well; the end token comes before all
     order = np.argsort(-often, kind="stable")
     number = np.empty(len(order), np.int32)
@@ -105,20 +111,23 @@ def _block(t: pa.Table, bid: int) -> pa.RecordBatch:
     tf = np.bincount(tokens[learn], minlength=len(unique) + 1)
     words, shape = np.append(_END, unique[order]).view(np.int64), np.append(np.int32(0), letters[first[order]])
     return pa.RecordBatch.from_arrays(
-        [pa.array([bid], pa.int64()), _one(t.column(0).combine_chunks(), pa.int64()), _one(held, pa.bool_()), _one(sizes, pa.int32()), _packed(tokens), _one(words, pa.int64()), _one(tf, pa.int32()), _one(shape, pa.int32())],
+        [pa.array([bid], pa.int64()), _one(t.column(0).combine_chunks(), pa.int64()), _one(held, pa.bool_()), _one(sizes, pa.int32()), pa.array([_packed(tokens)], pa.binary()), _one(words, pa.int64()), _one(tf, pa.int32()), _one(shape, pa.int32())],
         ["bid", "ids", "held", "sizes", "tokens", "words", "tf", "shape"],
     )
 
 
-def _packed(values: np.ndarray) -> pa.Array:
-    """Whole numbers, their bytes plane by plane, compressed."""
-    planes = np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T)
-    return pa.array([pa.compress(planes.tobytes(), "zstd", asbytes=True)], pa.binary())
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of whole numbers, their bytes plane by plane, compressed."""
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes() for x in arrays]
+    return pa.compress(b"".join(planes), "zstd", asbytes=True)
 
 
-def _unpacked(raw: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(raw, decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel()
+def _unpacked(raw: bytes, n: int, *kinds: str) -> list[np.ndarray]:
+    """The arrays of n numbers each that ``_packed`` took."""
+    sizes = [n * np.dtype(k).itemsize for k in kinds]
+    data = pa.decompress(raw, decompressed_size=sum(sizes), codec="zstd", asbytes=True)
+    at = np.cumsum([0, *sizes])
+    return [np.ascontiguousarray(np.frombuffer(data, np.uint8, size, start).reshape(-1, n).T).view(k).ravel() for k, size, start in zip(kinds, sizes, at.tolist(), strict=False)]
 
 
 class Model:
@@ -265,8 +274,8 @@ class Block:
         self.ids = get("ids").values
         self.held = np.asarray(get("held").values.fill_null(False))
         self.sizes = get("sizes").values.to_numpy().astype(np.int64)
-        self.tokens = _unpacked(get("tokens").as_py(), int(self.sizes.sum()))
-        self.count, self.leaf, self.symbol = (get(n).values.to_numpy() for n in ("count", "leaf", "symbol"))
+        self.tokens = _unpacked(get("tokens").as_py(), int(self.sizes.sum()), "<i4")[0]
+        self.count, self.leaf, self.symbol = _unpacked(get("lexicon").as_py(), get("types").as_py(), "<i8", "<i4", "<i4")
 
     def slices(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray, list[np.ndarray]]]:
         """Runs of documents: which they are, their tokens, the tokens' leaves and features."""
@@ -282,6 +291,28 @@ def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
             yield Block(b, i)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(bid, n, hc): places, counts and ranks of a block's words, from rows sorted by block."""
+
+    def row(bid: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(parts)
+        packed = _packed(*(np.ascontiguousarray(t.column(k).to_numpy(), kind) for k, kind in ((1, "<i4"), (2, "<i8"), (3, "<i4"))))
+        return pa.RecordBatch.from_arrays([pa.array([bid], pa.int64()), pa.array([len(t)], pa.int32()), pa.array([packed], pa.binary())], ["bid", "n", "hc"])
+
+    last, parts = 0, []
+    for b in batches:
+        bid = np.asarray(b.column(0))
+        edges = np.flatnonzero(np.append(True, bid[1:] != bid[:-1])).tolist()
+        for i, j in zip(edges, [*edges[1:], len(bid)], strict=True):
+            if parts and bid[i] != last:
+                yield row(last, parts)
+                parts = []
+            last = int(bid[i])
+            parts.append(b.slice(i, j - i))
+    if parts:
+        yield row(last, parts)
+
+
 def counted_blocks(made: DataFrame) -> tuple[DataFrame, Model]:
     """Blocks with the training counts, leaves and symbols of their words, and the model without weights. made must be stored."""
     pairs = made.select("bid", F.posexplode(F.arrays_zip("words", "tf", "shape")).alias("pos", "z"))
@@ -309,22 +340,23 @@ def counted_blocks(made: DataFrame) -> tuple[DataFrame, Model]:
         model.total[r["leaf"]], model.distinct[r["leaf"]] = r["n"], r["v"]
     # words of one block alone have its own counts already
     wide = total_ranked.where((F.col("c") > 0) & (F.col("blocks") > 1) | (F.col("rank") >= 0)).select("words", "c", "rank")
-    back = pairs.select("bid", "pos", "z.words").join(wide, "words").groupBy("bid").agg(F.collect_list(F.struct("pos", "c", "rank")).alias("hc"))
+    # sorted by block and packed row by row: a list of so many structs would be a large object of the JVM
+    back = pairs.select("bid", "pos", "z.words").join(wide, "words").select("bid", "pos", "c", "rank").repartition("bid").sortWithinPartitions("bid").mapInArrow(_gathered, "bid bigint, n int, hc binary")
 
     def ready(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
             for i in range(len(b)):
                 tf, shape = (b.column(k)[i].values.to_numpy() for k in (4, 5))
-                count, ranks, hc = tf.astype(np.int64), np.full(len(tf), -1, np.int64), b.column(6)[i]
-                if hc.is_valid:
-                    pos, c, rank = (x.to_numpy() for x in hc.values.flatten())
+                count, ranks, n = tf.astype(np.int64), np.full(len(tf), -1, np.int64), b.column(6)[i].as_py()
+                if n:
+                    pos, c, rank = _unpacked(b.column(7)[i].as_py(), n, "<i4", "<i8", "<i4")
                     count[pos], ranks[pos] = c, rank
                 leaf, symbol = m.leaf_of(ranks, shape)
-                yield pa.RecordBatch.from_arrays([*[b.column(k).slice(i, 1) for k in range(4)], _one(count, pa.int64()), _one(leaf, pa.int32()), _one(symbol, pa.int32())], ["ids", "held", "sizes", "tokens", "count", "leaf", "symbol"])
+                yield pa.RecordBatch.from_arrays([*[b.column(k).slice(i, 1) for k in range(4)], pa.array([len(tf)], pa.int32()), pa.array([_packed(count, leaf, symbol)], pa.binary())], ["ids", "held", "sizes", "tokens", "types", "lexicon"])
 
-    both = made.join(back, "bid", "left").select("ids", "held", "sizes", "tokens", "tf", "shape", "hc")
-    kept = stored(both.mapInArrow(ready, "ids array<bigint>, held array<boolean>, sizes array<int>, tokens binary, count array<bigint>, leaf array<int>, symbol array<int>"), "blocks")
+    both = made.join(back, "bid", "left").select("ids", "held", "sizes", "tokens", "tf", "shape", "n", "hc")
+    kept = stored(both.mapInArrow(ready, "ids array<bigint>, held array<boolean>, sizes array<int>, tokens binary, types int, lexicon binary"), "blocks")
     discard(total)
     return kept, model
 
