@@ -76,3 +76,11 @@ def test_negatives_reach_the_positive_count_or_the_limit_of_tries(spark):
     for r in got:
         tries = r.accepted + r.duplicate + r.annotation + r.low_tissue
         assert r.accepted + r.failed_neg == n[r.slide_id] and (r.failed_neg == 0 or tries == 5000 * n[r.slide_id])
+
+
+@pytest.mark.parametrize("name", ["clean_tiles"])
+def test_tries_are_not_broadcast(spark, name):
+    """Spark takes a hundred tries a slide for one row a slide, and they must not meet in the driver for it."""
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().sparkPlan().toString()
+    by_cells = [line for line in plan.splitlines() if "Join" in line and "cx#" in line]
+    assert by_cells and all("SortMergeJoin" in line for line in by_cells)

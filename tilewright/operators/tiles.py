@@ -34,9 +34,14 @@ def _in_cells(tiles: DataFrame, annotations: DataFrame, side: int) -> tuple[Data
 
 
 def _shown(tiles: DataFrame, annotations: DataFrame, side: int, grid: bool) -> tuple[DataFrame, tuple[Column, ...]]:
-    """Pairs t, a of which at least 30 % of the box shows in the tile, and the part that shows."""
+    """Pairs t, a of which at least 30 % of the box shows in the tile, and the part that shows.
+
+    By cells the join is by merging: Spark takes rows made by explode for no more than those they are made
+    of, so it would broadcast all tries of all slides as if they were the slides.
+    """
     if grid:
         t, a, same = _in_cells(tiles, annotations, side)
+        a = a.hint("merge")
     else:
         t, a = tiles.alias("t"), annotations.alias("a")
         same = F.col("t.slide_id") == F.col("a.slide_id")
