@@ -78,7 +78,7 @@ def test_negatives_reach_the_positive_count_or_the_limit_of_tries(spark):
         assert r.accepted + r.failed_neg == n[r.slide_id] and (r.failed_neg == 0 or tries == 5000 * n[r.slide_id])
 
 
-@pytest.mark.parametrize("name", ["clean_tiles"])
+@pytest.mark.parametrize("name", ["clean_tiles", "tile_has_annotation"])
 def test_tries_are_not_broadcast(spark, name):
     """Spark takes a hundred tries a slide for one row a slide, and they must not meet in the driver for it."""
     plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().sparkPlan().toString()
