@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from test_queries import TABLES, rows
 
+from tilewright.functions import md5
 from tilewright.operators import sampling
 from tilewright.plans.queries import ORACLE_SQL, QUERIES
 from tilewright.sources.views import view
@@ -84,3 +85,49 @@ def test_tries_are_not_broadcast(spark, name):
     plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().sparkPlan().toString()
     by_cells = [line for line in plan.splitlines() if "Join" in line and "cx#" in line]
     assert by_cells and all("SortMergeJoin" in line for line in by_cells)
+
+
+@pytest.mark.parametrize("n", [0, 5, 22, 48, 49, 52])
+def test_first_words_of_md5_equal_hashlib(n):
+    prefix = b"7" * n
+    for digits in (1, 3, 5):
+        got = md5.heads(prefix, digits, "xy").reshape(2, -1)
+        for i in range(0, 10**digits, 10**digits // 7 + 1):
+            want = [hashlib.md5(prefix + f"{i:0{digits}d}|{tag}".encode()).digest()[:4] for tag in "xy"]
+            assert [int(v) for v in got[:, i]] == [int.from_bytes(w, "big") for w in want]
+
+
+@pytest.fixture
+def texts(monkeypatch):
+    """How many texts are hashed, call by call."""
+    made, heads = [], md5.heads
+    monkeypatch.setattr(md5, "heads", lambda *a: made.append(len(out := heads(*a))) or out)
+    return made
+
+
+def loop(slide, width, height, boxes, tissue, per, every):
+    """Tries one by one: counts by reason and the accepted origins."""
+    seen, radius, n, out = set(), 0.15, dict.fromkeys(("accepted", "duplicate", "annotation", "low_tissue"), 0), []
+    for t in range(per * boxes.shape[1]):
+        if n["accepted"] == boxes.shape[1]:
+            break
+        radius = min(1.5, radius + 0.10) if (t + 1) % every == 0 else radius
+        half, at = min(width, height) * radius, []
+        for extent, tag in ((width, "x"), (height, "y")):
+            u = int(hashlib.md5(f"42|{slide}|{t}|{tag}".encode()).hexdigest()[:8], 16) / 4294967296.0
+            at.append(max(0, min(round(extent / 2 - half + 2 * half * u) - 512, extent - 1024)))
+        why = "duplicate" if tuple(at) in seen else "annotation" if shows(boxes.T, *at) else "accepted" if tissue(*at) else "low_tissue"
+        seen.add(tuple(at))
+        n[why] += 1
+        out += [tuple(at)] * (why == "accepted")
+    return n, out
+
+
+def test_tries_whose_places_were_all_there_are_counted_but_not_made(texts):
+    boxes = np.array([[100.0, 100.0 + 30 * i, 700.0, 2000.0 + 30 * i] for i in range(6)]).T
+    count, xs, ys = sampling.sample(1, 800, 2048, boxes, lambda x, y: x + y > 5000, every=50)
+    assert (count, [*zip(xs.tolist(), ys.tolist(), strict=True)]) == loop(1, 800, 2048, boxes, lambda x, y: x + y > 5000, 5000, 50)
+    assert sum(count.values()) == 30000
+    texts.clear()
+    count, _, _ = sampling.sample(1, 800, 2048, boxes, lambda x, y: x + y > 5000, every=50, per=5_000_000)
+    assert sum(count.values()) == 30_000_000 and sum(texts) < 1_000_000

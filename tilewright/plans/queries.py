@@ -50,8 +50,8 @@ def visible_boxes_grid(s: SparkSession, d: str) -> DataFrame:
     return tiles.box_digests(_visible(s, d))
 
 
-def _sampled(s: SparkSession, d: str) -> DataFrame:
-    return sampling.sampled(view(s, d, "slides"), _ann(s, d), _tissue)
+def _sampled(s: SparkSession, d: str, counted: bool = True) -> DataFrame:
+    return sampling.sampled(view(s, d, "slides"), _ann(s, d), _tissue, counted=counted)
 
 
 def tile_has_annotation(s: SparkSession, d: str) -> DataFrame:
