@@ -131,3 +131,27 @@ def test_tries_whose_places_were_all_there_are_counted_but_not_made(texts):
     texts.clear()
     count, _, _ = sampling.sample(1, 800, 2048, boxes, lambda x, y: x + y > 5000, every=50, per=5_000_000)
     assert sum(count.values()) == 30_000_000 and sum(texts) < 1_000_000
+
+
+def test_no_try_is_made_where_no_place_is_free(texts):
+    """Without counts; with them the same places are accepted."""
+    cover = np.array([[x, y, x + 700.0, y + 700.0] for x in range(0, 6000, 350) for y in range(0, 5000, 350)]).T
+    assert sampling.sample(5, 6000, 5000, cover, lambda x, y: x >= 0, counted=False)[0]["accepted"] == 0 and not texts
+    rng = np.random.default_rng(8)
+    for slide in range(12):
+        at = rng.uniform(0, 3500, (2, 20 + slide))
+        boxes, tissue = np.concatenate([at, at + rng.uniform(50, 800, at.shape)]), lambda x, y: (x + y) % 4 > 0
+        count, *places = sampling.sample(slide, 4000, 3000 + 100 * slide, boxes, tissue, per=900)
+        less, *same = sampling.sample(slide, 4000, 3000 + 100 * slide, boxes, tissue, per=900, counted=False)
+        assert less == {"accepted": count["accepted"], "duplicate": None, "annotation": None, "low_tissue": None}
+        assert all((a == b).all() for a, b in zip(places, same, strict=True))
+
+
+@pytest.mark.parametrize("name", ["negative_tiles"])
+def test_queries_without_counts_ask_for_none(spark, monkeypatch, name):
+    asked, sampled = [], sampling.sampled
+    monkeypatch.setattr(sampling, "sampled", lambda *a, **k: asked.append(k) or sampled(*a, **k))
+    got = sorted(tuple(map(str, r)) for r in QUERIES[name](spark, SMALL).collect())
+    assert [k.pop("counted") for k in asked] == [False]
+    monkeypatch.setattr(sampling, "sampled", lambda *a, **_: sampled(*a))
+    assert got == sorted(tuple(map(str, r)) for r in QUERIES[name](spark, SMALL).collect())

@@ -63,7 +63,7 @@ def clean_tiles(s: SparkSession, d: str) -> DataFrame:
 
 
 def negative_tiles(s: SparkSession, d: str) -> DataFrame:
-    return sampling.negatives(_sampled(s, d))
+    return sampling.negatives(_sampled(s, d, counted=False))
 
 
 def negative_reject_stats(s: SparkSession, d: str) -> DataFrame:
