@@ -147,7 +147,7 @@ def test_no_try_is_made_where_no_place_is_free(texts):
         assert all((a == b).all() for a, b in zip(places, same, strict=True))
 
 
-@pytest.mark.parametrize("name", ["negative_tiles"])
+@pytest.mark.parametrize("name", ["negative_tiles", "samples_union_variants"])
 def test_queries_without_counts_ask_for_none(spark, monkeypatch, name):
     asked, sampled = [], sampling.sampled
     monkeypatch.setattr(sampling, "sampled", lambda *a, **k: asked.append(k) or sampled(*a, **k))

@@ -177,7 +177,7 @@ def stem_difference(s: SparkSession, d: str) -> DataFrame:
 
 
 def samples_union_variants(s: SparkSession, d: str) -> DataFrame:
-    both = _pos(s, d).select("slide_id", "stem").unionByName(sampling.negatives(_sampled(s, d)).select("slide_id", "stem"))
+    both = _pos(s, d).select("slide_id", "stem").unionByName(sampling.negatives(_sampled(s, d, counted=False)).select("slide_id", "stem"))
     return both.select("slide_id", F.explode(F.array(*[F.lit(v) for v in pixels.VARIANTS])).alias("variant"), "stem").select("slide_id", F.concat_ws("_", "stem", "variant").alias("image"))
 
 
