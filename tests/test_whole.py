@@ -87,6 +87,16 @@ def test_tries_are_not_broadcast(spark, name):
     assert by_cells and all("SortMergeJoin" in line for line in by_cells)
 
 
+@pytest.mark.parametrize("name", ["clean_tiles", "tile_has_annotation"])
+def test_hits_are_not_broadcast(spark, name):
+    """Adaptive execution broadcasts what turns out to be below the bound: here all tries with a hit."""
+    got = QUERIES[name](spark, SMALL)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    by_origin = [line for line in plan.splitlines() if "LeftSemi" in line or "LeftAnti" in line]
+    assert by_origin and all("SortMergeJoin" in line for line in by_origin)
+
+
 @pytest.mark.parametrize("n", [0, 5, 22, 48, 49, 52])
 def test_first_words_of_md5_equal_hashlib(n):
     prefix = b"7" * n

@@ -67,9 +67,12 @@ def box_digests(boxes: DataFrame) -> DataFrame:
 
 
 def without_annotation(tiles: DataFrame, annotations: DataFrame, side: int = SIDE, how: str = "left_anti") -> DataFrame:
-    """Tiles in which no annotation shows to 30 % (left_semi: in which one does), joined by cells."""
+    """Tiles in which no annotation shows to 30 % (left_semi: in which one does), joined by cells.
+
+    The second join is by merging too: most tries are hits, and adaptive execution would broadcast them.
+    """
     hit = _shown(tiles.select("slide_id", "x0", "y0").distinct(), annotations, side, True)[0].select("t.slide_id", "t.x0", "t.y0").distinct()
-    return tiles.join(hit, ["slide_id", "x0", "y0"], how).select(*tiles.columns)
+    return tiles.join(hit.hint("merge"), ["slide_id", "x0", "y0"], how).select(*tiles.columns)
 
 
 def radii(every: int, tries: int) -> list[float]:
