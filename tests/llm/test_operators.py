@@ -63,6 +63,27 @@ def test_suffix_dedup_many_near_copies(spark):
     same(suffix_dedup.digests(suffix_dedup.with_spans(df, window=60, hot=16)).collect(), list(repeats(texts(df), 60)))
 
 
+def test_suffix_dedup_writes_few_files(spark, monkeypatch, tmp_path):
+    """Strings go to their blocks without a table of their own, and small result rows to few files."""
+    labels, stored = [], suffix_dedup.stored
+    monkeypatch.setattr(suffix_dedup, "stored", lambda df, label: labels.append(label) or stored(df, label))
+    rng = random.Random(6)
+    words = [f"{rng.random():.17f}" for _ in range(1500)]
+    rows = [(i, " ".join(rng.choices(words, k=800) + words[:30] + rng.choices(words, k=200))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    held = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        suffix_dedup.digests(suffix_dedup.with_spans(df)).write.parquet(f"{tmp_path}/out")
+    finally:
+        for k in held:
+            spark.conf.unset(k)
+    assert "hits" in labels and "strings" not in labels
+    assert len(list((tmp_path / "out").glob("part-*"))) == 1
+    same(spark.read.parquet(f"{tmp_path}/out").collect(), list(repeats(texts(df), 200)))
+
+
 def test_cleaned_keeps_columns(odd):
     out = suffix_dedup.cleaned(odd)
     assert out.columns == odd.columns and out.count() == odd.count()

@@ -116,9 +116,8 @@ def _recut(strings: DataFrame, window: int, run: int) -> DataFrame:
     return strings.select("anchor", "shash", "copies", "s").mapInArrow(rows, "anchor bigint, shash bigint, copies bigint, anchor2 bigint, shash2 bigint, off int, n int, w int, s binary")
 
 
-def _repeats(strings: DataFrame, window: int) -> DataFrame:
-    """(anchor, shash, spans): stretches of repeated windows of each string, by the expansion, block by block."""
-    total = strings.agg(F.sum(F.octet_length("s") + 1)).first()[0] or 0
+def _repeats(strings: DataFrame, total: int, window: int) -> DataFrame:
+    """(anchor, shash, spans): stretches of repeated windows of each string, by the expansion, in blocks of ``total`` bytes."""
     blocks = max(1, -(-total // BLOCK))
 
     def run(group: pa.Table) -> pa.Table:
@@ -157,20 +156,26 @@ def _moved(start: str, more: int = 0) -> Column:
     return F.transform("spans", lambda s: F.struct((F.col(start) + s["lo"]).alias("lo"), (F.col(start) + s["hi"] + more).alias("hi")))
 
 
-def _hits(strings: DataFrame, runs: list[int], window: int, hot: int) -> DataFrame:
-    """(anchor, shash, spans) of strings (anchor, shash, m, copies, s), m of which share an anchor."""
-    crowd = strings.where(F.col("m") > hot) if runs else strings.limit(0)
-    ready = stored(_repeats(strings.where(F.col("m") <= hot) if runs else strings, window), "hits")
-    if not runs or not crowd.limit(1).count():
+def _sizes(strings: DataFrame, size: Column, runs: list[int], hot: int) -> tuple[int, bool]:
+    """Bytes of the strings that go to blocks as they are, with separators, and whether others must be cut anew before."""
+    crowded = F.col("m") > hot if runs else F.lit(False)
+    total, some = strings.agg(F.sum(F.when(~crowded, size + 1)), F.max(crowded)).first()
+    return total or 0, bool(some)
+
+
+def _hits(strings: DataFrame, total: int, crowded: bool, runs: list[int], window: int, hot: int) -> DataFrame:
+    """(anchor, shash, spans) of strings (anchor, shash, m, copies, s), m of which share an anchor, and of their ``_sizes``."""
+    ready = stored(_repeats(strings.where(F.col("m") <= hot) if crowded else strings, total, window), "hits")
+    if not crowded:
         return ready
-    pieces = stored(_recut(crowd, window, runs[0]), "pieces")
+    pieces = stored(_recut(strings.where(F.col("m") > hot), window, runs[0]), "pieces")
     own = pieces.groupBy("anchor2", "shash2").agg(F.sum("copies").alias("copies"), F.max("w").alias("w"), F.max("n").alias("n"))
     per = own.groupBy("anchor2").agg(F.count("*").alias("m"), F.sum(F.col("copies") * F.col("w")).alias("c")).where(F.col("c") > 1)
     own = stored(own.join(per, "anchor2").select(F.col("anchor2").alias("anchor"), F.col("shash2").alias("shash"), "m", "copies", "n"), "strings")
     sure = (F.col("m") == 1) & (F.col("copies") > 1)
     body = pieces.select(F.col("anchor2").alias("anchor"), F.col("shash2").alias("shash"), "s").join(own.where(~sure), ["anchor", "shash"])
     finer = stored(body.dropDuplicates(["anchor", "shash"]).select("anchor", "shash", "m", "copies", "s"), "strings")
-    found = _hits(finer, runs[1:], window, hot).unionByName(_whole(own.where(sure)))
+    found = _hits(finer, *_sizes(finer, F.octet_length("s"), runs[1:], hot), runs[1:], window, hot).unionByName(_whole(own.where(sure)))
     back = pieces.select("anchor", "shash", "anchor2", "shash2", "off").join(found.select(F.col("anchor").alias("anchor2"), F.col("shash").alias("shash2"), "spans"), ["anchor2", "shash2"])
     back = back.select("anchor", "shash", _moved("off").alias("spans")).groupBy("anchor", "shash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     out = stored(ready.unionByName(back), "hits")
@@ -191,9 +196,14 @@ def repeated_spans(texts: DataFrame, *, window: int = WINDOW, hot: int = HOT) ->
     first = stored(own.join(per, "anchor").select("anchor", "shash", "m", "copies", "f.k", "f.at", "f.n"), "first")
     discard(own)
     sure = (F.col("m") == 1) & (F.col("copies") > 1)
-    strings = stored(_fetched(texts, first.where(~sure), window), "strings")
-    hits = _hits(strings, runs[1:], window, hot)
-    discard(strings)
+    asked = first.where(~sure)
+    total, crowded = _sizes(asked, F.col("n") + (window - 1), runs[1:], hot)
+    strings = _fetched(texts, asked, window)
+    if crowded:  # read twice: those for the blocks, and those to cut anew
+        strings = stored(strings, "strings")
+    hits = _hits(strings, total, crowded, runs[1:], window, hot)
+    if crowded:
+        discard(strings)
     back = places.join(hits.unionByName(_whole(first.where(sure))), ["anchor", "shash"])
     out = stored(back.select("k", _moved("at", window - 1).alias("spans")).groupBy("k").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
     discard(places, first, hits)
@@ -223,7 +233,10 @@ def with_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wind
 
 
 def digests(spanned: DataFrame, *, key: str = "doc_id", text: str = "text", spans: str = "tw_spans") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of rows of with_spans."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of rows of with_spans.
+
+    The rows are small beside their texts, so they are gathered: else a file is written for each few texts.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -235,7 +248,7 @@ def digests(spanned: DataFrame, *, key: str = "doc_id", text: str = "text", span
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = spanned.schema[key].dataType.simpleString()
-    return spanned.select(F.col(key).alias("doc_id"), text, spans).mapInArrow(rows, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return spanned.select(F.col(key).alias("doc_id"), text, spans).mapInArrow(rows, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string").hint("rebalance")
 
 
 def _rows(b: pa.RecordBatch, text: int, spans: int) -> Iterator[tuple[bytes, np.ndarray]]:
