@@ -165,3 +165,35 @@ def test_queries_without_counts_ask_for_none(spark, monkeypatch, name):
     assert [k.pop("counted") for k in asked] == [False]
     monkeypatch.setattr(sampling, "sampled", lambda *a, **_: sampled(*a))
     assert got == sorted(tuple(map(str, r)) for r in QUERIES[name](spark, SMALL).collect())
+
+
+def test_counted_tries_are_made_in_the_jvm(spark):
+    """Numpy takes some hundred nanoseconds a hash, so too long for the slides of 1 GB."""
+    plan = QUERIES["negative_reject_stats"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "tilewright_tries(" in plan
+    assert "tilewright_tries(" not in QUERIES["negative_tiles"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    ("options", "tissue"),
+    [
+        ({"per": 700}, lambda x, y: (x + y) % 4 > 0),
+        ({"per": 90, "every": 1, "seed": -123456789}, lambda x, y: x % 2 == 0),
+        ({"per": 40, "every": 777, "side": 333}, lambda x, y: (x + y) % 11 == 0),  # most free places don't fit: the JVM stops too early
+    ],
+)
+@pytest.mark.parametrize("most", [1 << 29, 4_000_000])  # beyond so many places it leaves a slide to numpy
+def test_tries_of_the_jvm_are_those_of_numpy(spark, monkeypatch, options, tissue, most):
+    monkeypatch.setattr(sampling, "_TO_JVM", most)
+    rng = np.random.default_rng(12)
+    sizes = {7: (4000, 3000), 10**17: (800, 2500), 3: (1024, 1024), 40: (700, 900), 5: (9001, 2111), 6: (2500, 2500), 8: (3000, 5000)}
+    boxes = {s: np.concatenate([at, at + rng.uniform(5, 900, at.shape)]) for s, (w, h) in sizes.items() for at in [rng.uniform(-100, min(w, h), (2, 25 + s % 9))]}
+    boxes[6] = np.array([[0.0, 0.0, 900.0, 900.0]] * 3 + [[5.0, 5.0, 5.0, 90.0]]).T
+    boxes[8] = np.array([[x, y, x + 700.0, y + 700.0] for x in range(0, 3000, 350) for y in range(0, 5000, 350)]).T
+    slides = spark.createDataFrame([(s, *v) for s, v in sizes.items()], "slide_id long, width long, height long")
+    ann = spark.createDataFrame([(s, *map(float, b)) for s, v in boxes.items() for b in v.T], "slide_id long, x1 double, y1 double, x2 double, y2 double")
+    got = {r.slide_id: r for r in sampling.sampled(slides, ann, tissue, **options).collect()}
+    for s, (w, h) in sizes.items():
+        count, xs, ys = sampling.sample(s, w, h, boxes[s], tissue, **options)
+        assert ({k: got[s][k] for k in count}, got[s].xs, got[s].ys) == (count, xs.tolist(), ys.tolist())
+    assert len({tuple(r)[1:6] for r in got.values()}) == len(sizes)
